@@ -19,6 +19,21 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: The vocabulary file of the tokenizing queries.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    from .bpe import encode_and_decode
+
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path(TOKENIZER)
+    out = encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_path, carry=["doc_id"])
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeated_passages
 
@@ -28,6 +43,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op8_bpe": op8_bpe,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
