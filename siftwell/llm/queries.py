@@ -8,10 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+from . import mixing
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import fair_mix
+
+    return fair_mix(table(spark, sf_dir, "documents"), carry=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import remove_repeated_bytes
 
@@ -42,9 +51,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_fair_mix": op2_fair_mix,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op8_bpe": op8_bpe,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_fair_mix": mixing.oracle_sql()}
