@@ -43,6 +43,14 @@ def op8_bpe(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import held_out, score_toxicity, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model, carry=["doc_id"]).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeated_passages
 
@@ -54,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fair_mix": op2_fair_mix,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op8_bpe": op8_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
