@@ -28,6 +28,14 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import read_features, read_metadata, store_media
+
+    manifest, folder = store_media(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    out = read_features(read_metadata(manifest, folder), folder)
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth")
+
+
 #: The vocabulary file of the tokenizing queries.
 TOKENIZER = "word_bpe_49k.json"
 
@@ -61,6 +69,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fair_mix": op2_fair_mix,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_media": op5_media,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
