@@ -21,6 +21,13 @@ def op2_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix(table(spark, sf_dir, "documents"), carry=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    out = scan_licenses(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", "license", "coverage", F.size("matches").cast("long").alias("n_matches"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import remove_repeated_bytes
 
@@ -68,6 +75,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fair_mix": op2_fair_mix,
+    "op3_licenses": op3_licenses,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_media": op5_media,
     "op8_bpe": op8_bpe,
