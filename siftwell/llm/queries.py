@@ -43,6 +43,12 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95, carry=["vec_id"])
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
 
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_licenses": op3_licenses,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_media": op5_media,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
