@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_tree_lm import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 def op2_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import fair_mix
 
@@ -86,6 +92,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op2_fair_mix": op2_fair_mix,
     "op3_licenses": op3_licenses,
     "op4_suffix_dedup": op4_suffix_dedup,
