@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 U64 = np.uint64
 #: Whole documents go into chunks of about this many bytes of text; a longer document is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Words are parted by these ASCII bytes alone: space, tab, newline, vertical tab, form feed, carriage return.
 SPACES = (32, 9, 10, 11, 12, 13)
 WORD = r"[^\x20\x09-\x0D]+"

@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_COLUMNS, K3, U64, Chunk, carried_columns, chunk_table, doc_of, fields_of, join_hash, materialize, n_buckets, pack, received, sent, unpack
+from .common import CHUNK_COLUMNS, K3, U64, Chunk, carried_columns, chunk_table, doc_of, fields_of, join_hash, materialize, mix, n_buckets, pack, received, sent, unpack
 
 ANCHOR = 40
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 SHARD_BYTES = 6 << 20
 ANCHORS, GONE, ASK, WHOLE, PART = range(5)
 ROW_SCHEMA = "bucket long, chunk long, kind int, payload binary"
@@ -54,11 +54,11 @@ def segments(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
     span = length - ANCHOR + 1
     out = []
     padded = np.concatenate([buf, np.zeros(length + 80, np.uint8)])
-    limit = np.zeros(len(buf) + 1, np.int32)  # windows may start where the running sum is positive
+    limit = np.zeros(len(buf) + 1, np.int8)  # windows may start where the running sum is positive
     long = ends - starts >= length
     np.add.at(limit, starts[long], 1)
     np.add.at(limit, ends[long] - length + 1, -1)
-    open_ = np.cumsum(limit)[:-1] > 0
+    open_ = np.cumsum(limit, dtype=np.int8)[:-1] > 0
     place = np.arange(BLOCK + span, dtype=U64)
     for at in range(0, len(buf), BLOCK):
         stop = min(at + BLOCK, len(buf))
@@ -96,7 +96,7 @@ def segments(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
             if k + 32 >= int(size.max()):
                 break
         whole = join_hash(whole, size.astype(U64))
-        out.append((at + s, count, anchor[pick[first]], whole))
+        out.append((at + s, count, mix(anchor[pick[first]]), whole))  # the smallest hashes, spread evenly again
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, U64)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -351,7 +351,7 @@ def _cut(chunks: pa.Table, gone: pa.Table, length: int) -> pa.Table:
             s, count = (x.astype(np.int64) for x in unpack(payload))
             np.add.at(step, s, 1)
             np.add.at(step, s + count + length - 1, -1)
-        lost = np.cumsum(step[:-1]) > 0
+        lost = np.cumsum(step[:-1], dtype=np.int32) > 0
         data, kept, spans, n_removed = chunk.buf.tobytes(), [], [], []
         for a, b in zip(chunk.starts, chunk.ends, strict=True):
             part = lost[a:b]
