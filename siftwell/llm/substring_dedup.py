@@ -139,7 +139,7 @@ def _extend(chunks: pa.Table, answers: pa.Table, window: int, buckets: int) -> p
     return pa.Table.from_batches(out)
 
 
-def _cut(chunks: pa.Table, answers: pa.Table, window: int, buckets: int, schema: pa.Schema) -> pa.Table:
+def _cut(chunks: pa.Table, answers: pa.Table, window: int, buckets: int, layout: bool) -> pa.Table:
     out = []
     for chunk in Chunk.each(chunks):
         w = _Words(chunk, window)
@@ -151,8 +151,14 @@ def _cut(chunks: pa.Table, answers: pa.Table, window: int, buckets: int, schema:
             a, b = w.first[d], w.first[d + 1]
             edges = np.flatnonzero(np.diff(np.concatenate([[False], gone[a:b], [False]]).astype(np.int8)))
             spans.append([{"start": int(s), "end": int(e)} for s, e in zip(edges[0::2], edges[1::2], strict=True)])
-            words = data[chunk.starts[d] : chunk.ends[d]].split()
-            kept.append(b" ".join(words if not len(edges) else [x for x, g in zip(words, gone[a:b], strict=True) if not g]))
+            text = data[chunk.starts[d] : chunk.ends[d]]
+            if layout:  # a removed run goes with the white space after it
+                begin = np.append(w.starts[a:b], chunk.ends[d]) - chunk.starts[d]
+                cuts = [0, *(int(begin[e]) for e in edges), len(text)]
+                kept.append(b"".join(text[x:y] for x, y in zip(cuts[0::2], cuts[1::2], strict=True)))
+            else:
+                words = text.split()
+                kept.append(b" ".join(words if not len(edges) else [x for x, g in zip(words, gone[a:b], strict=True) if not g]))
         total = np.concatenate([[0], np.cumsum(gone)])
         out.append(
             chunk.with_results(
@@ -165,11 +171,12 @@ def _cut(chunks: pa.Table, answers: pa.Table, window: int, buckets: int, schema:
     return pa.concat_tables(out)
 
 
-def remove_repeated_passages(docs: DataFrame, window_words: int = 35, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def remove_repeated_passages(docs: DataFrame, window_words: int = 35, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, layout: bool = False) -> DataFrame:
     """Removes every word that a window of ``window_words`` words covers whose words also start anywhere else.
 
     Returns a row for each row of ``docs`` with the columns ``carry`` (unset: all but the text), ``n_words``,
-    ``n_removed``, ``kept`` (the words left, joined by one space) and ``spans`` (removed runs of words, ends
+    ``n_removed``, ``kept`` (the words left, joined by one space; with
+    ``layout`` they keep their own white space) and ``spans`` (removed runs of words, ends
     excluded). A null or empty text has no words and stays empty; a repeated row is another document, so that
     both lose what they share; null ids and other columns pass unchanged, but a column named as a result is is
     dropped; an empty table gives an empty one; a very long text is one chunk and is never cut.
@@ -186,5 +193,5 @@ def remove_repeated_passages(docs: DataFrame, window_words: int = 35, id_col: st
     around = chunks.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(lambda c, a: _extend(c, a, window_words, buckets), EXCHANGE_SCHEMA)
     repeats = around.groupBy("bucket").applyInArrow(lambda t: _answer(t, 2), ANSWER_SCHEMA)
     schema = fields_of(docs, carry, RESULTS.replace("kept string", "kept binary"))
-    out = chunks.select(*CHUNK_COLUMNS).groupBy("chunk").cogroup(hits.unionByName(repeats).groupBy("chunk")).applyInArrow(lambda c, a: _cut(c, a, window_words, buckets, None), schema)
+    out = chunks.select(*CHUNK_COLUMNS).groupBy("chunk").cogroup(hits.unionByName(repeats).groupBy("chunk")).applyInArrow(lambda c, a: _cut(c, a, window_words, buckets, layout), schema)
     return out.withColumn("kept", F.col("kept").cast("string"))
