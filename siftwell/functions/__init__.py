@@ -1 +1 @@
-
+"""Column functions; none of them shuffles."""
