@@ -34,7 +34,6 @@ def words(c: Column) -> Column:
     return F.filter(F.split(c, SPACE), lambda w: w != "")
 
 
-@F.pandas_udf("string")
 def _nfc(s: pd.Series) -> pd.Series:
     import unicodedata
 
@@ -43,7 +42,7 @@ def _nfc(s: pd.Series) -> pd.Series:
 
 def normalize_for_hash(c: Column) -> Column:
     """White space collapsed and the text composed (NFC): the form whose digest tells records apart."""
-    return _nfc(collapse_space(c))
+    return F.pandas_udf(_nfc, "string")(collapse_space(c))
 
 
 def longest_run(items: Column) -> Column:

@@ -1 +1 @@
-
+"""Incremental forms of batch operators."""
