@@ -50,7 +50,7 @@ def read_tree(spark: SparkSession, path: str, pattern: str = "*", ignore: tuple[
     for binary files (more than 30 % control characters)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
     files = files.filter(~F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(i) for i in ignore])))
-    raw = F.decode("content", F.lit("ISO-8859-1"))
+    raw = F.decode("content", "ISO-8859-1")
     control = F.regexp_count(raw, F.lit(r"[\x00-\x08\x0E-\x1F]")) / F.greatest(F.length("content"), F.lit(1))
     text = F.when(control > 0.30, F.lit(None)).when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")).otherwise(raw)
     return files.select("path", "length", text.alias("text"))
