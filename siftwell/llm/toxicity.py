@@ -7,7 +7,8 @@ unlabelled ones, whose own labels it never sees, by the class-prior-corrected ri
 
 where R_p and R_u are mean sigmoid losses over positive and unlabelled texts: the negative part of the risk is
 what unlabelled texts show beyond the share of positives among them, and it is never let below 0 (when a step
-would do so, the step goes against that part's gradient instead). The prior is the share of toxic texts among
+would do so, the step goes against that part's gradient instead). The boundary is then set in the widest gap of the
+unlabelled margins near the prior. The prior is the share of toxic texts among
 the labelled rows of the training folds.
 
 Training runs on the driver in numpy on a bounded sample of rows (``Sample``); scoring is one pass over all rows
@@ -129,7 +130,19 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         grad[:k] += sample.decay * theta[:k]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta = theta - sample.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return Model(words, theta[:k], theta[k])
+    return Model(words, theta[:k], theta[k] - boundary(margin(u_row, u_col, n_u), prior))
+
+
+def boundary(margins: np.ndarray, prior: float) -> float:
+    """Where to part positives from the rest: the middle of the widest gap between the margins of unlabelled texts,
+    where half to a little over the class prior of them lie above it."""
+    s, n = np.sort(margins)[::-1], len(margins)
+    low, high = max(1, int(0.5 * prior * n)), min(n - 1, int(1.15 * prior * n) + 1)
+    if high < low:
+        return 0.0
+    gaps = s[low - 1 : high] - s[low : high + 1]
+    k = low + int(np.argmax(gaps))
+    return float(s[k - 1] + s[k]) / 2 if gaps.max() > 1e-9 else 0.0
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held: int = 0, sample: Sample = Sample()) -> Model:
