@@ -6,13 +6,16 @@ are one class and go on as one. A pair of classes at the threshold agrees in far
 
 Posting: every (coordinate, value) is a token. If the tokens of each signature are put into one order, the
 rarest first, two signatures with ``matches`` tokens in common share one among their first
-``coordinates - matches + 1``; only this prefix is posted. The order comes from a sketch of fixed size that adds
-up the tokens of all classes, so that what thousands of unrelated texts share is posted last, if at all.
-
-Pairs: no list is expanded into all its pairs. A list first gives the pairs of its smallest class with every
-other (collisions of a pair are counted over its lists); these are checked by signature and confirmed on the full
-sets, and the confirmed ones joined into components. Then only those members of one list that are still in
-different components are paired, checked and confirmed in turn: pairs within a component could not change it.
+``coordinates - matches + 1``; only this prefix is posted, and of it only tokens that another class has too. How
+many classes have a token is counted exactly: packs of classes send their tokens to buckets as packed arrays and
+get the counts back (see ``common``). So what many unrelated texts share is posted last, if at all.
+
+Pairs: no list is expanded into all its pairs. A list first gives the pairs of one class with every other, of the
+class whose posted tokens are the most shared: among edited copies of one text this is the text itself. The pairs
+(their collisions counted over all lists) are checked by signature and confirmed on the full sets, and the confirmed
+ones joined into components. What is left are members of one list in different components (pairs within a component could
+not change it). Their classes are compared in blocks: a task has all of two blocks, compares the signatures, counts the
+shared shingles of the likely pairs by a matrix product, and returns a spanning forest of the links.
 """
 
 from __future__ import annotations
@@ -24,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, carried_columns, fields_of, materialize, mix, narrow, pack, rolling, texts_of, unpack, word_hashes, word_spans
-from .components import connected_components
+from .common import EXCHANGE_SCHEMA, LOWER, U64, by_bucket, carried_columns, fields_of, materialize, mix, n_buckets, narrow, pack, received, rolling, sent, texts_of, unpack, word_hashes, word_spans
+from .components import connected_components, forest
 
-SKETCH_BITS = 18
-SKETCH_PARTS = 16
+PACK = 4096  # classes in a pack
+BLOCK = 256  # classes whose sets are sent together
 ROWS = 128  # texts that are put through numpy at once
 
 
@@ -90,27 +93,64 @@ def _sig_matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
 
 
-def _sketch(batches):
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+def _pack(batches):
+    """Packs of classes: their ids and signatures."""
+    from pyspark import TaskContext
+
+    part, seq, ids, sigs = TaskContext.get().partitionId(), 0, [], []
+
+    def row():
+        return pa.RecordBatch.from_arrays([pa.array([(part << 24) + seq], pa.int64()), pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([b"".join(sigs)], pa.binary())], names=["chunk", "ids", "sigs"])
+
     for batch in batches:
-        if batch.num_rows:
-            counts += np.bincount((tokens_of(_sig_matrix(batch.column(0))) >> U64(64 - SKETCH_BITS)).ravel().astype(np.int64), minlength=len(counts))
-    parts = counts.reshape(SKETCH_PARTS, -1)
-    yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([pack(narrow(p)) for p in parts], pa.binary())], names=["part", "counts"])
+        for at in range(0, batch.num_rows, PACK):
+            some = batch.slice(at, PACK)
+            ids.append(some.column(0).to_numpy()), sigs.extend(some.column(1).to_pylist())
+            if len(sigs) >= PACK:
+                yield row()
+                seq, ids, sigs = seq + 1, [], []
+    if sigs:
+        yield row()
 
 
-def _add(table: pa.Table) -> pa.Table:
-    total = sum(unpack(p)[0].astype(np.int64) for p in table.column("counts").to_pylist())
-    return pa.table({"part": table.column("part")[:1], "counts": pa.array([pack(narrow(total))], pa.binary())})
+def _tokens(ids: bytes, sigs: bytes) -> tuple[np.ndarray, np.ndarray]:
+    cls = np.frombuffer(ids, np.int64)
+    return cls, tokens_of(np.frombuffer(sigs, np.uint32).reshape(len(cls), -1))
 
 
-def _post(batches, sketch: np.ndarray, prefix: int):
+def _offer(batches, buckets: int):
     for batch in batches:
-        if batch.num_rows:
-            t = tokens_of(_sig_matrix(batch.column(1)))
-            order = np.lexsort((t, sketch[(t >> U64(64 - SKETCH_BITS)).astype(np.int64)]), axis=1)[:, :prefix]
-            t = np.take_along_axis(t, order, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(t.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), prefix))], names=["token", "cls"])
+        for chunk, ids, sigs in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            found, counts = np.unique(_tokens(ids, sigs)[1], return_counts=True)
+            yield sent(chunk, found, buckets, narrow(counts))
+
+
+def _tally(table: pa.Table) -> pa.Table:
+    parts = [received(p) for p in table.column("payload").to_pylist()]
+    groups, back = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+    total = np.bincount(back, weights=np.concatenate([c for _, c in parts]), minlength=len(groups)).astype(np.int64)[back]
+    cuts = np.cumsum([0] + [len(h) for h, _ in parts])
+    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "counts": pa.array([pack(narrow(total[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
+
+
+def _post(packs: pa.Table, answers: pa.Table, prefix: int, buckets: int) -> pa.Table:
+    out = {c: [np.zeros(0, np.int64)] for c in ("token", "cls", "score", "n")}
+    for _, ids, sigs in zip(*(packs.column(c).to_pylist() for c in ("chunk", "ids", "sigs")), strict=True):
+        cls, t = _tokens(ids, sigs)
+        found, back = np.unique(t, return_inverse=True)
+        counts, cuts = np.zeros(len(found), np.int64), by_bucket(found, buckets)
+        for k, payload in zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist(), strict=True):
+            counts[cuts[k] : cuts[k + 1]] = unpack(payload)[0]
+        n = counts[back].reshape(t.shape)
+        order = np.lexsort((t, n), axis=1)[:, :prefix]
+        t, n = np.take_along_axis(t, order, axis=1), np.take_along_axis(n, order, axis=1)
+        shared = n > 1
+        score = (n * shared).sum(axis=1)
+        out["token"].append(t[shared].view(np.int64))
+        out["cls"].append(np.broadcast_to(cls[:, None], t.shape)[shared])
+        out["score"].append(np.broadcast_to(score[:, None], t.shape)[shared])
+        out["n"].append(n[shared])
+    return pa.table({k: np.concatenate(v) for k, v in out.items()})
 
 
 def _agree(batches, matches: int):
@@ -128,38 +168,83 @@ def _sets(batches, words: int):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([pack(s[:1], s[1:] - s[:-1]) for s in sets], pa.binary())], names=["cls", "shingles"])
 
 
-def _confirm(batches, percent: int):
-    for batch in batches:
-        a, b = [], []
-        last, one = None, None
-        for x, y, p, q in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            if last != x:
-                last, one = x, np.cumsum(np.concatenate(unpack(p)), dtype=U64)
-            two = np.cumsum(np.concatenate(unpack(q)), dtype=U64)
-            both = len(np.intersect1d(one, two, assume_unique=True))
-            if 100 * both >= percent * (len(one) + len(two) - both):
-                a.append(x), b.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-class _Join:
-    def __init__(self, docs: DataFrame, classes: DataFrame, words: int, percent: int, matches: int, key, text):
-        self.docs, self.classes, self.words, self.percent, self.matches, self.key, self.text = docs, classes, words, percent, matches, key, text
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs (a, b): those whose signatures agree often enough and whose sets reach the threshold."""
-        words, percent, matches = self.words, self.percent, self.matches
-        sig = self.classes.select("cls", "sig")
-        both = pairs.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
-        likely = materialize(both.select("a", "b", "sig_a", "sig_b").mapInArrow(lambda x: _agree(x, matches), "a long, b long"), "likely")
-        wanted = likely.select(F.col("a").alias("cls")).unionByName(likely.select(F.col("b").alias("cls"))).distinct()
-        places = self.classes.join(wanted, "cls", "left_semi").select("cls", "place.key", "place.digest")
-        texts = self.docs.select(self.key.alias("key"), F.xxhash64(self.text).alias("digest"), self.text.alias("text"))
-        found = places.join(texts, ["key", "digest"]).select("cls", "text").mapInArrow(lambda x: _sets(x, words), "cls long, shingles binary")
-        sets = materialize(found.dropDuplicates(["cls"]), "sets")
-        first = likely.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("one")), "a")
-        pairs = first.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("two")), "b").select("a", "b", "one", "two")
-        return materialize(pairs.mapInArrow(lambda x: _confirm(x, percent), "a long, b long"), "links")
+def _confirm(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+    """Of the pairs of one group: those whose sets reach the threshold."""
+    known = {c: np.cumsum(np.concatenate(unpack(x)), dtype=U64) for c, x in zip(sets.column("cls").to_pylist(), sets.column("shingles").to_pylist(), strict=True)}
+    a, b = [], []
+    for x, y in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+        one, two = known[x], known[y]
+        both = len(np.intersect1d(one, two, assume_unique=True))
+        if 100 * both >= percent * (len(one) + len(two) - both):
+            a.append(x), b.append(y)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, blocks: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Of the pairs (a, b): those whose signatures agree often enough and whose sets reach the threshold.
+
+    The sets meet in groups of pairs, one for each two blocks of classes, so that a set is sent once for a whole
+    block of partners; where the blocks are cut only matters for the amount that is sent."""
+    sig = classes.select("cls", "sig")
+    both = pairs.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
+    likely = materialize(both.select("a", "b", "sig_a", "sig_b").mapInArrow(lambda x: _agree(x, matches), "a long, b long"), "likely")
+    of = lambda c: blocks.select(F.col("cls").alias(c), F.col("block").alias(f"block_{c}"))
+    group = F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b"))
+    grouped = materialize(likely.join(of("a"), "a").join(of("b"), "b").select(group.alias("group"), "a", "b"), "grouped")
+    needed = grouped.select(F.col("group").alias("where"), F.explode(F.array("a", "b")).alias("cls")).distinct()
+    return materialize(grouped.groupBy("group").cogroup(needed.join(sets, "cls").groupBy("where")).applyInArrow(lambda p, s: _confirm(p, s, percent), "a long, b long"), "links")
+
+
+def _cross(table: pa.Table, matches: int, percent: int) -> pa.Table:
+    """Of two blocks of classes: a spanning forest of the links between classes of different components."""
+    side, cls, component, size = (table.column(c).to_numpy() for c in ("side", "cls", "component", "size"))
+    sig = _sig_matrix(table.column("sig"))
+    x, y = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+    near_ = component[x][:, None] != component[y][None, :]
+    near_ &= 100 * np.minimum(size[x][:, None], size[y][None, :]) >= percent * np.maximum(size[x][:, None], size[y][None, :])
+    for i in np.flatnonzero(near_.any(axis=1)):
+        near_[i] &= (sig[x[i]] == sig[y]).sum(axis=1) >= matches
+    i, j = np.nonzero(near_)
+    out = [np.zeros(0, np.int64)] * 2
+    if len(i):
+        used = np.unique(np.concatenate([x[i], y[j]]))
+        sets = {r: np.cumsum(np.concatenate(unpack(table.column("shingles")[int(r)].as_py())), dtype=U64) for r in used.tolist()}
+        flat, row = np.concatenate([sets[r] for r in used.tolist()]), np.repeat(np.arange(len(used)), [len(sets[r]) for r in used.tolist()])
+        _, column, often = np.unique(flat, return_inverse=True, return_counts=True)
+        some = often > 1  # what one set alone has is in no intersection
+        place = np.cumsum(some) - 1
+        row, column = row[some[column]], place[column[some[column]]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros((len(used), len(used)), np.float32)
+        for low in range(0, int(some.sum()), 4096):
+            a, b = np.searchsorted(column, [low, low + 4096])
+            part = np.zeros((len(used), 4096), np.float32)
+            part[row[a:b], column[a:b] - low] = 1
+            both += part @ part.T
+        p, q = np.searchsorted(used, x[i]), np.searchsorted(used, y[j])
+        common = both[p, q].astype(np.int64)
+        ok = 100 * common >= percent * (size[x[i]] + size[y[j]] - common)
+        if ok.any():
+            nodes, roots = forest(cls[x[i[ok]]], cls[y[j[ok]]])
+            out = [nodes[nodes != roots], roots[nodes != roots]]
+    return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+
+def _crossing(entries: DataFrame, classes: DataFrame, sets: DataFrame, blocks: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Links between members of one list that are in different components, found block by block.
+
+    A list only says which blocks meet; two blocks are then compared as a whole in one task, so neither pairs of
+    classes nor lists are sent."""
+    placed = entries.join(blocks, "cls")
+    lists = placed.select("token", "block").distinct()
+    x, y = lists.alias("x"), lists.alias("y")
+    meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.block") <= F.col("y.block"))).select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct()
+    meet = materialize(meet.withColumn("pair", F.xxhash64("x", "y")), "meet")
+    sides = meet.select("pair", F.explode(F.when(F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("block"), F.lit(3).alias("side")))).otherwise(F.array(F.struct(F.col("x").alias("block"), F.lit(1).alias("side")), F.struct(F.col("y").alias("block"), F.lit(2).alias("side"))))).alias("s")).select("pair", "s.*")
+    full = placed.select("cls", "component", "block").distinct().join(classes.select("cls", "size", "sig"), "cls").join(sets, "cls")
+    dealt = sides.join(full, "block").select("pair", "side", "cls", "component", "size", "sig", "shingles")
+    return materialize(dealt.groupBy("pair").applyInArrow(lambda t: _cross(t, matches, percent), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 64, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -184,29 +269,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     names = ["__id", "__place", "__row"]
     signed = materialize(slim.mapInArrow(lambda b: _sign(b, words, coordinates, names), fields_of(slim, names, "cls long, n_shingles long, sig binary")), "signed")
 
-    classes = materialize(signed.filter("cls is not null").groupBy("cls").agg(F.min("__place").alias("place"), F.min("__id").alias("least"), F.min("sig").alias("sig")), "classes")
-    parts = classes.select("sig").mapInArrow(_sketch, "part int, counts binary").groupBy("part").applyInArrow(_add, "part int, counts binary").collect()
-    sketch = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
-    for r in parts:
-        sketch[r["part"]] = unpack(bytes(r["counts"]))[0]
-    rarity = sketch.ravel().astype(np.uint32)
-
-    posted = classes.select("cls", "sig").mapInArrow(lambda b: _post(b, rarity, prefix), "token long, cls long")
-    lists = posted.groupBy("token").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a < z").select("token", "a")
-    shared = materialize(posted.join(lists, "token"), "shared")
-    stars = shared.filter("a <> cls").groupBy("a", F.col("cls").alias("b")).agg(F.count("*").alias("collisions")).select("a", "b")
-
-    join = _Join(docs, classes, words, percent, matches, key, text)
-    first = join.confirmed(stars)
-    groups = connected_components(first, "a", "b")
-    labelled = shared.join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").select("token", "a", "cls", F.coalesce("component", "cls").alias("component"))
-    open_ = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
-    rest = materialize(labelled.join(open_, "token", "left_semi"), "open")
-    x, y = rest.alias("x"), rest.alias("y")
-    apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.cls") != F.col("x.a"))
-    crossing = x.join(y, apart).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    second = join.confirmed(crossing)
-    groups = connected_components(first.unionByName(second), "a", "b")
+    classes = materialize(signed.filter("cls is not null").groupBy("cls").agg(F.min("__place").alias("place"), F.min("__id").alias("least"), F.min("sig").alias("sig"), F.min("n_shingles").alias("size")), "classes")
+    buckets = n_buckets(docs.sparkSession)
+    packs = materialize(classes.select("cls", "sig").mapInArrow(_pack, "chunk long, ids binary, sigs binary"), "packs")
+    counts = packs.mapInArrow(lambda b: _offer(b, buckets), EXCHANGE_SCHEMA).groupBy("bucket").applyInArrow(_tally, "chunk long, bucket long, counts binary")
+    posted = packs.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(lambda p, a: _post(p, a, prefix, buckets), "token long, cls long, score long, n long")
+    posted = materialize(posted, "posted")
+
+    wanted = posted.select("cls").distinct()
+    places = classes.join(wanted, "cls", "left_semi").select("cls", "place.key", "place.digest")
+    texts = docs.select(key.alias("key"), F.xxhash64(text).alias("digest"), text.alias("text"))
+    found = places.join(texts, ["key", "digest"]).dropDuplicates(["key", "digest"]).select("cls", "text").mapInArrow(lambda x: _sets(x, words), "cls long, shingles binary")
+    sets = materialize(found, "sets")
+    common = posted.groupBy("cls").agg(F.max(F.struct("n", "token")).alias("most"))
+    blocks = materialize(common.select("cls", F.xxhash64("most.token", F.pmod(F.xxhash64("cls"), F.ceil(F.col("most.n") / BLOCK))).alias("block")), "blocks")
+
+    heads = posted.groupBy("token").agg(F.max_by("cls", F.struct("score", "cls")).alias("head"))
+    rest = materialize(posted.join(heads, "token").filter("cls <> head"), "rest")
+    stars = rest.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).groupBy("a", "b").agg(F.count("*").alias("collisions"))
+    links = _confirmed(stars.select("a", "b"), classes, sets, blocks, matches, percent)
+    groups = connected_components(links, "a", "b")
+    # pairs with a list's head are settled; the others are open where they are in different components
+    labelled = rest.join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").select("token", "cls", F.coalesce("component", "cls").alias("component"))
+    several = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
+    entries = materialize(labelled.join(several, "token", "left_semi"), "open")
+    links = links.unionByName(_crossing(entries, classes, sets, blocks, matches, percent))
+    groups = connected_components(links, "a", "b")
 
     member = classes.select("cls", "least").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     heads = member.groupBy("component").agg(F.min("least").alias("component_id"))
