@@ -281,11 +281,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     texts = docs.select(key.alias("key"), F.xxhash64(text).alias("digest"), text.alias("text"))
     found = places.join(texts, ["key", "digest"]).dropDuplicates(["key", "digest"]).select("cls", "text").mapInArrow(lambda x: _sets(x, words), "cls long, shingles binary")
     sets = materialize(found, "sets")
-    common = posted.groupBy("cls").agg(F.max(F.struct("n", "token")).alias("most"))
-    blocks = materialize(common.select("cls", F.xxhash64("most.token", F.pmod(F.xxhash64("cls"), F.ceil(F.col("most.n") / BLOCK))).alias("block")), "blocks")
-
     heads = posted.groupBy("token").agg(F.max_by("cls", F.struct("score", "cls")).alias("head"))
-    rest = materialize(posted.join(heads, "token").filter("cls <> head"), "rest")
+    headed = materialize(posted.join(heads, "token"), "headed")
+    # a class goes with the head of its most shared list; a head's classes are cut into blocks of like size
+    led = headed.groupBy("cls").agg(F.max_by("head", F.struct("n", "token")).alias("head"))
+    groups_ = led.groupBy("head").agg(F.count("*").alias("members"))
+    cut = F.pmod(F.xxhash64("cls"), F.ceil(F.col("members") / BLOCK))
+    blocks = materialize(led.join(groups_, "head").select("cls", F.xxhash64("head", cut).alias("block")), "blocks")
+    rest = headed.filter("cls <> head")
     stars = rest.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).groupBy("a", "b").agg(F.count("*").alias("collisions"))
     links = _confirmed(stars.select("a", "b"), classes, sets, blocks, matches, percent)
     groups = connected_components(links, "a", "b")
