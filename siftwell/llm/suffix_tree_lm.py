@@ -8,10 +8,11 @@ Kullback-Leibler divergence, is ``least_gain`` nats or more; so are the shorter
 symbols are smoothed towards the parent: (count + k * parent) / (total + k), k being the number of different next
 symbols, and each symbol is predicted from its longest retained suffix state.
 
-The score is one of tokens, over the events of the base score: the words seen in training, one event for all unseen
-ones, and the end. An unseen word has the probability e, the share of training words that were seen once; a seen
-one (1 - e) * (share * count / words + (1 - share) * tree's), where the tree's is the product over its symbols and
-the one that closes it. These add up to 1 at most, and no look at a text's own later words is taken.
+The score is one of the text: its words as spelt, and the end. With e for the share of training words that were seen
+once, and the tree's probability of a word for the product over its symbols and the one that closes it, an unseen
+word has e * tree's and a seen one (1 - e) * (share * count / words + (1 - share) * tree's). These add up to 1 at
+most, and no look at a text's own later words is taken. The base score differs here: it has one event for all unseen
+words, whatever their spelling.
 
 Every chunk of training texts sends its distinct (symbol, context) counts to the bucket of the context's last two
 symbols, and its distinct words with their counts to the bucket of the word's hash. A bucket sums them, returns the
@@ -269,12 +270,13 @@ def text_scores(tree: Tree, stream: _Stream, counts: np.ndarray, totals: np.ndar
     event = running[ends + 1] - running[np.concatenate([[0], ends[:-1] + 1])]
     doc = stream.owner[ends]
     is_word = (stream.first[1:] > stream.first[:-1])[doc]
+    spelt = event.copy()
     event += np.log10((1 - share) * (1 - e))
     last = signs[ends] == END
     odds = np.log10(np.where(last, closing, 1 - closing))[is_word]
     with np.errstate(divide="ignore"):
         known = np.log10(counts * (share * (1 - e) / max(words, 1))) + odds
-    event[is_word] = np.where(counts > 0, np.logaddexp(known * np.log(10), event[is_word] * np.log(10)) / np.log(10), np.log10(e) + odds)
+    event[is_word] = np.where(counts > 0, np.logaddexp(known * np.log(10), event[is_word] * np.log(10)) / np.log(10), np.log10(e) + spelt[is_word])
     return np.bincount(doc, weights=event, minlength=len(stream.begin))
 
 

@@ -144,6 +144,20 @@ def test_language_model_learns_contexts(spark):
     assert len(out) > 20 and sum(r["score"] for r in out) > 0.8 * sum(r["base_score"] for r in out)
 
 
+def test_language_model_spells_unseen_words(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(WORDS) for _ in range(40)) + f" {WORDS[i % 80]}{WORDS[i * 7 % 80]}") for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 7 == 2][:4]
+    unseen = ["abcdefghabcdefgh", "zqxjzqxj", "zqxjzqxjzqxjzqxj", "\u6f22\u5b57\u6f22"]
+    out = suffix_tree_lm.score_texts(spark.createDataFrame(rows + list(zip(held, unseen)), "doc_id long, text string"), least_share=1e-4)
+    got = {r["doc_id"]: (r["n_known"], r["score"]) for r in out.filter("held_out").collect()}
+    assert [got[i][0] for i in held] == [1] * 4
+    like, junk, longer, script = (got[i][1] for i in held)
+    assert like > longer and junk > longer and longer < -20 and script < -10
+    seen = min(r["score"] / r["n_tokens"] for r in out.filter("not held_out").collect())
+    assert junk < seen
+
+
 def test_tree_is_a_distribution():
     chunk = common.Chunk(0, common.pack(np.array([1, 2])), common.pack(np.array([11, 7])), __import__("pyarrow").compress(b"abab abc ababc abb", codec="zstd", asbytes=True), b"")
     s = suffix_tree_lm._Stream(chunk)
