@@ -240,8 +240,9 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 def common_prefixes(text: np.ndarray, sa: np.ndarray, which: np.ndarray, cap: int, stride: int = 16) -> np.ndarray:
     """Bytes, ``cap`` at most, that the suffix at each of the places ``which`` of ``sa`` shares with the one before.
 
-    Kasai's rule in text order: if the suffix at i shares l bytes with its forerunner, the one at i + d shares
-    l - d at least. Every ``stride``-th place is compared from its start, the others from that bound on.
+    Kasai's rule in text order: if the suffix at i shares l bytes with its forerunner j, the one at i + d shares
+    l - d at least with j + d. Every ``stride``-th place is compared from its start, and the others from that bound
+    on where j + d is their forerunner; suffixes sorted by their first bytes only may have another one.
     """
     n = len(text)
     padded = np.concatenate([text, np.zeros(cap + 16, np.uint8)])
@@ -267,9 +268,9 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, which: np.ndarray, cap: in
     out[lead] = compare(lead, np.zeros(len(lead), np.int64))
     rest = np.flatnonzero(~sampled)
     at = (rest // stride) * stride
-    # the rule needs every text position between the two to be among those compared; otherwise start from 0
+    # the bound is one on the bytes shared with the lead's forerunner moved on; with another forerunner start from 0
     gap = here[rest] - here[at]
-    bound = np.where(gap == rest - at, np.maximum(out[at] - gap, 0), 0)
+    bound = np.where(before[rest] - before[at] == gap, np.maximum(out[at] - gap, 0), 0)
     out[rest] = compare(rest, np.minimum(bound, most[rest]))
     back = np.empty(len(here), np.int64)
     back[order] = out

@@ -115,6 +115,27 @@ def test_suffix_array_and_common_prefixes():
         assert n == min(full, 100)
 
 
+def test_window_classes_of_edited_copies():
+    """Near copies with a one-letter edit and tails that part after 100 to 160 bytes, against a dictionary."""
+    for seed in range(300):
+        rng = random.Random(seed)
+        say = lambda k: bytes(rng.choice(b"abcd") for _ in range(k))
+        passage, text, valid = say(220), b"", []
+        for _ in range(rng.randint(3, 6)):
+            seg = bytearray(passage)
+            if rng.random() < 0.5:
+                seg[rng.randrange(120)] = rng.choice(b"Az")
+            seg = bytes(seg[: rng.randint(100, 160)]) + say(rng.randint(0, 30))
+            text += seg
+            valid += [True] * (len(seg) - 99) + [False] * 99
+        at, cls = suffix_dedup.window_classes(np.frombuffer(text, np.uint8), np.array(valid), 100)
+        by_class, by_window = {}, {}
+        for a, c in zip(at.tolist(), cls.tolist()):
+            by_class.setdefault(c, set()).add(a)
+            by_window.setdefault(text[a : a + 100], set()).add(a)
+        assert sorted(map(sorted, by_class.values())) == sorted(map(sorted, by_window.values())), seed
+
+
 # ----------------------------------------------------------------------------------------- 1: language model
 
 
