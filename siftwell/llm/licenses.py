@@ -5,7 +5,9 @@ run of them is kept, and the gaps between are aligned in the same way after thei
 coverage is the share of the template's words that are aligned.
 
 Where a text may hold a template more than once, words would not be unique, so a text is aligned in the regions
-around its occurrences of the template's rarest word there. Most texts are never aligned: the coverage cannot be
+around its occurrences of the template's rarest word there. A region where that word is repeated may hold copies back to
+back; it is aligned in windows of one copy too: between the word's neighbouring occurrences, and where a copy with the
+word in its place would be. Most texts are never aligned: the coverage cannot be
 more than the share of the template's words that the text has at all, which one look-up per word bounds.
 """
 
@@ -119,12 +121,37 @@ class Templates:
             for p in places.tolist():
                 if p < last:
                     continue
-                a, b = max(last, p - 2 * n, 0), min(len(words), p + 2 * n)
-                pairs = align(words[a:b].tolist(), template)
-                if len(pairs) >= least * n:
-                    first, end = a + pairs[0][0], a + pairs[-1][0] + 1
-                    out.append((int(k), len(pairs) / n, first, end))
-                    last = end
+                best = None
+                for a, b in self.windows(k, words, p, max(last, 0), least):
+                    part = words[a:b].tolist()
+                    if (Counter(part) & self.counts[k]).total() < least * n:
+                        continue
+                    pairs = align(part, template)
+                    if len(pairs) >= least * n:
+                        first, end = a + pairs[0][0], a + pairs[-1][0] + 1
+                        # one copy around this place rather than a part of it and a part of the next
+                        best = min(best or (True, True), (not first <= p < end, (end - first) * least > n, -len(pairs), end - first, first, end))
+                if best and not best[0]:
+                    out.append((int(k), -best[2] / n, best[4], best[5]))
+                    last = best[5]
+        return out
+
+    def windows(self, k: int, words: np.ndarray, p: int, low: int, least: float) -> list[tuple[int, int]]:
+        """Where to align a template around the place of one of its words: widely and, if the word is repeated there
+        more than in the template, in windows of one copy."""
+        template, word = self.words[k], int(words[p])
+        n = len(template)
+        a, b = max(low, p - 2 * n), min(len(words), p + 2 * n)
+        out = [(a, b)]
+        again = a + np.flatnonzero(words[a:b] == words[p])
+        own = [t for t, w in enumerate(template) if w == word]
+        if len(again) > len(own):
+            if len(own) == 1:
+                at = int(np.searchsorted(again, p))
+                out.append((int(again[at - 1]) + 1 if at else a, int(again[at + 1]) if at + 1 < len(again) else b))
+            spare = int(n / max(least, 0.5)) - n
+            for t in own:
+                out += [(max(a, p - t - more), min(b, p - t + n + more)) for more in {0, spare}]
         return out
 
 

@@ -320,6 +320,30 @@ def test_license_scan(spark):
     assert got[1][0] == "MIT" and 0.9 < got[1][1] < 1 and got[2] == (None, 0.0, 0) and got[3] == (None, 0.0, 0) and got[4] == ("MIT", 1.0, 3) and got[5] == (None, 0.0, 0)
 
 
+@pytest.mark.parametrize("between", [0, 1, 3])
+def test_licenses_back_to_back(between):
+    known = licenses.Templates(licenses.TEMPLATES)
+    read = lambda t: toxicity.text_words([t.encode()])[1]
+    rng = random.Random(7)
+    say = lambda k: "".join(f" {rng.choice(WORDS)}q" for _ in range(k))
+    for name, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            n = len(read(text))
+            for copies in (2, 3, 4):
+                got = known.scan(read(say(50) + "".join(f" {text}{say(between)}" for _ in range(copies)) + say(50)), 0.8)
+                starts = [50 + i * (n + between) for i in range(copies)]
+                assert [m[1:] for m in got if known.names[m[0]] == name and m[3] - m[2] == n] == [(1.0, s, s + n) for s in starts], (name, n, copies)
+
+
+def test_edited_licenses_back_to_back():
+    known = licenses.Templates(licenses.TEMPLATES)
+    mit = licenses.TEMPLATES["MIT"][1]
+    cut = mit.replace("free of charge, to any person", "free of charge to each and every person")
+    got = known.scan(toxicity.text_words([f"head {cut} {mit} {cut} tail".encode()])[1], 0.8)
+    assert [(known.names[m[0]], m[1] == 1) for m in got] == [("MIT", False), ("MIT", True), ("MIT", False)]
+    assert all(x[3] <= y[2] for x, y in zip(got, got[1:], strict=False))
+
+
 # ----------------------------------------------------------------------------------------- 9: toxicity
 
 
