@@ -25,8 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
-    return near_duplicates(docs, words=5, percent=80, carry=docs.columns).filter("kept").select(docs.columns)
+    """One row of each group of near duplicates stays, one with the smallest id; of a group without ids, any one."""
+    return near_duplicates(docs, words=5, percent=80, carry=docs.columns, one_row=True).filter("kept").select(docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

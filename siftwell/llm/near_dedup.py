@@ -247,7 +247,7 @@ def _crossing(entries: DataFrame, classes: DataFrame, sets: DataFrame, blocks: D
     return materialize(dealt.groupBy("pair").applyInArrow(lambda t: _cross(t, matches, percent), "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 64, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 64, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, one_row: bool = False) -> DataFrame:
     """Links texts whose sets of ``words``-word shingles have a Jaccard similarity of ``percent`` hundredths or more,
     and groups what links reach.
 
@@ -255,8 +255,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     ``component_id`` (the smallest id of the group) and ``kept`` (whether it is the row's own). Words are lower
     case; a text of fewer words than a shingle has is one shingle; a null, empty or blank text has none, is linked
     with nothing and is kept. Rows that repeat an id with its text share its values; a null id never is the
-    smallest, and its row is kept only if its group has no id. A column named as a result is is dropped; an empty
-    table gives an empty one; long texts are compared whole.
+    smallest, and its row is kept only if its group has no id. With ``one_row`` a group keeps a single row: of those
+    that would be kept the first by a digest of the text, and of repeated ones any. A column named as a result is is
+    dropped; an empty table gives an empty one; long texts are compared whole.
     """
     results = ["n_shingles", "component_id", "kept"]
     carry = carried_columns(docs, text_col, results) if carry is None else carry
@@ -267,9 +268,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     kept = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(None).alias("__none"))
     slim = docs.select(text.alias("__text"), ident.alias("__id"), F.struct(key.alias("key"), F.xxhash64(text).alias("digest")).alias("__place"), kept.alias("__row"))
     names = ["__id", "__place", "__row"]
+    if one_row:  # the table is written before the numbers are used, so they stay
+        slim, names = slim.withColumn("__no", F.monotonically_increasing_id()), [*names, "__no"]
     signed = materialize(slim.mapInArrow(lambda b: _sign(b, words, coordinates, names), fields_of(slim, names, "cls long, n_shingles long, sig binary")), "signed")
 
-    classes = materialize(signed.filter("cls is not null").groupBy("cls").agg(F.min("__place").alias("place"), F.min("__id").alias("least"), F.min("sig").alias("sig"), F.min("n_shingles").alias("size")), "classes")
+    first = [F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", F.col("__place.digest").alias("digest"), "__no")).alias("first")] if one_row else []
+    classes = materialize(signed.filter("cls is not null").groupBy("cls").agg(F.min("__place").alias("place"), F.min("__id").alias("least"), F.min("sig").alias("sig"), F.min("n_shingles").alias("size"), *first), "classes")
     buckets = n_buckets(docs.sparkSession)
     packs = materialize(classes.select("cls", "sig").mapInArrow(_pack, "chunk long, ids binary, sigs binary"), "packs")
     counts = packs.mapInArrow(lambda b: _offer(b, buckets), EXCHANGE_SCHEMA).groupBy("bucket").applyInArrow(_tally, "chunk long, bucket long, counts binary")
@@ -299,10 +303,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     links = links.unionByName(_crossing(entries, classes, sets, blocks, matches, percent))
     groups = connected_components(links, "a", "b")
 
-    member = classes.select("cls", "least").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    heads = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = member.join(heads, "component").select("cls", "component_id")
+    member = classes.select("cls", "least", *(["first"] if one_row else [])).join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    least = [F.min("first").alias("one")] if one_row else []
+    heads = member.groupBy("component").agg(F.min("least").alias("component_id"), *least)
+    named = member.join(heads, "component").select("cls", "component_id", *(["one"] if one_row else []))
     out = signed.drop("sig", "__place").join(named, "cls", "left").withColumn("component_id", F.when(F.col("cls").isNull(), F.col("__id")).otherwise(F.col("component_id")))
     kept = F.coalesce(F.col("__id") == F.col("component_id"), F.col("component_id").isNull())
+    if one_row:
+        kept = F.col("cls").isNull() | (F.col("__no") == F.col("one.__no"))
     columns = [F.col(f"__row.`{c}`") for c in carry]
     return out.select(*columns, "n_shingles", "component_id", kept.alias("kept"))

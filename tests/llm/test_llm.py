@@ -433,3 +433,19 @@ def test_pipeline(spark, tmp_path):
     sized = {r["doc_id"]: r["copies"] for r in mixing.fair_mix(spark.createDataFrame(kept["substring_dedup"], DOCS)).collect()}
     assert mixed == Counter({i: n for i, n in sized.items() if n})
     assert len(kept["bpe"]) == len(kept["mixing"]) and all(len(r["ids"]) == 4 * r["n_tokens"] for r in kept["bpe"])
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as P
+
+    p, q = " ".join(WORDS[:60]), " ".join(WORDS[20:80])
+    edited = q.split()
+    edited[59] = "changed"
+    rows = [(5, p), (5, p), (5, p), (8, p), (None, p), (None, q), (None, q), (None, " ".join(edited)), (6, "alone"), (7, ""), (7, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS).repartition(3)
+    kept = P.materialize(P.drop_near_duplicates(spark, docs, ""), "kept")
+    got = sorted((r["doc_id"] or -1, r["text"] or "") for r in kept.collect())
+    assert len(got) == 6 and got[0] == (-1, "") and got[1][0] == -1 and got[1][1] in (q, " ".join(edited))
+    assert got[2:] == [(5, p), (6, "alone"), (7, ""), (7, "")]
+    cut = {r["doc_id"]: r["text"] for r in P.cut_repeated_passages(spark, kept.filter("doc_id = 5 or doc_id = 6"), "").collect()}
+    assert cut == {5: p, 6: "alone"}
