@@ -19,7 +19,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
@@ -71,7 +71,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables of ``materialize`` whose every reader has been written itself."""
+    for table in tables:
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(table._scratch.rpartition("/")[0])
+        path.getFileSystem(conf).delete(path, True)
+
+
+def salted_join(many: DataFrame, few: DataFrame, key: str, spread: Column, how: str = "inner", salts: int = 16) -> DataFrame:
+    """Joins by a key that some rows of ``many`` may all have, and of which ``few`` has one row each: the rows of a
+    key go to ``salts`` places by the hash ``spread``, and the row of ``few`` to each of them."""
+    many = many.withColumn("__salt", F.pmod(spread, F.lit(salts)).cast("int"))
+    few = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return many.join(few, [key, "__salt"], how).drop("__salt")
 
 
 def n_buckets(spark: SparkSession) -> int:

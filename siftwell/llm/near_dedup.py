@@ -1,21 +1,27 @@
 """Operator 7: near-duplicate texts by an inverted join of MinHash coordinates.
 
 A text's set is its distinct word shingles; its signature has ``coordinates`` MinHash values. Texts with one set
-are one class and go on as one. A pair of classes at the threshold agrees in far more coordinates than
-``matches`` (the binomial mean less five standard deviations), and pairs with fewer agreements are skipped.
-
-Posting: every (coordinate, value) is a token. If the tokens of each signature are put into one order, the
-rarest first, two signatures with ``matches`` tokens in common share one among their first
-``coordinates - matches + 1``; only this prefix is posted, and of it only tokens that another class has too. How
-many classes have a token is counted exactly: packs of classes send their tokens to buckets as packed arrays and
-get the counts back (see ``common``). So what many unrelated texts share is posted last, if at all.
-
-Pairs: no list is expanded into all its pairs. A list first gives the pairs of one class with every other, of the
-class whose posted tokens are the most shared: among edited copies of one text this is the text itself. The pairs
-(their collisions counted over all lists) are checked by signature and confirmed on the full sets, and the confirmed
-ones joined into components. What is left are members of one list in different components (pairs within a component could
-not change it). Their classes are compared in blocks: a task has all of two blocks, compares the signatures, counts the
-shared shingles of the likely pairs by a matrix product, and returns a spanning forest of the links.
+are one class and go on as one. A pair of classes at the threshold collides in ``matches`` coordinates at least (the
+binomial mean less four standard deviations); pairs with fewer collisions are skipped.
+
+Posting, by prefixes: every (coordinate, value) is a token. If the tokens of each signature are put into one order,
+the rarest first, two signatures with ``matches`` tokens in common share ``LEAST`` of their first
+``coordinates - matches + LEAST``; only this prefix is posted, of it only tokens that another class has too, and
+nothing of a class with fewer than ``LEAST`` of those. How many classes have a token is counted exactly: packs of
+classes send their tokens to buckets as packed arrays and get the counts back (see ``common``).
+
+Merging, with skips: the short lists are merged, which counts the collisions of every pair that meets in one. The long
+ones (over ``short`` classes) are skipped; a pair is dropped if its collisions, with all that the skipped lists could
+add, stay below ``LEAST``. What is left is looked up in the signatures: pairs with fewer than ``matches`` collisions
+over all coordinates go. Of a long list the pairs of one class with every other are taken as candidates too, of the
+class whose posted tokens are the most shared: among edited copies of one text this is the text itself.
+
+Confirming: each class is first compared on the full sets with the partner with which it collides most, then only pairs
+still in different components. What is open after that are members of one long list in different components. These
+classes are put into blocks, those of a group's largest component apart from its others, so that blocks of one and the
+same component never meet; two blocks of a list are compared as a whole in one task (signatures, then shared
+shingles by a matrix product), which returns a spanning forest of the links. That is the only cost that can grow with
+the square of a group: its members that are similar without being linked, times the group, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -27,16 +33,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import EXCHANGE_SCHEMA, LOWER, U64, by_bucket, carried_columns, fields_of, materialize, mix, n_buckets, narrow, pack, received, rolling, sent, texts_of, unpack, word_hashes, word_spans
+from .common import EXCHANGE_SCHEMA, LOWER, U64, by_bucket, carried_columns, fields_of, materialize, mix, n_buckets, narrow, pack, received, release, rolling, salted_join, sent, texts_of, unpack, word_hashes, word_spans
 from .components import connected_components, forest
 
 PACK = 4096  # classes in a pack
-BLOCK = 256  # classes whose sets are sent together
 ROWS = 128  # texts that are put through numpy at once
+LEAST = 4  # collisions of posted tokens
+SHORT = 24  # classes in a list that is merged, at most
+GROUP, GROUP_SHINGLES = 512, 1 << 20  # pairs and shingles that are confirmed together, about
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21  # classes and shingles of a block, about
 
 
 def match_threshold(coordinates: int, similarity: float) -> int:
-    return max(1, int(coordinates * similarity - 5 * (coordinates * similarity * (1 - similarity)) ** 0.5))
+    return max(LEAST, int(coordinates * similarity - 4 * (coordinates * similarity * (1 - similarity)) ** 0.5))
 
 
 def shingle_sets(texts: list[bytes | None], words: int) -> list[np.ndarray]:
@@ -58,7 +67,7 @@ def shingle_sets(texts: list[bytes | None], words: int) -> list[np.ndarray]:
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.Generator(np.random.PCG64(20_240_607))
-    return rng.integers(0, 1 << 63, n, dtype=np.uint64) * U64(2) + U64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    return rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
 
 def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
@@ -67,9 +76,10 @@ def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
     full = [i for i, s in enumerate(sets) if len(s)]
     if full:
         flat = np.concatenate([sets[i] for i in full])
+        flat = (flat ^ (flat >> U64(32))).astype(np.uint32)
         starts = np.concatenate([[0], np.cumsum([len(sets[i]) for i in full])[:-1]])
         for k in range(coordinates):
-            out[full, k] = np.minimum.reduceat((((flat ^ add[k]) * mult[k]) >> U64(32)).astype(np.uint32), starts)
+            out[full, k] = np.minimum.reduceat((flat ^ add[k]) * mult[k], starts)
     return out
 
 
@@ -94,34 +104,44 @@ def _sig_matrix(column) -> np.ndarray:
 
 
 def _pack(batches):
-    """Packs of classes: their ids and signatures."""
+    """Packs of classes: their ids, set sizes and signatures."""
     from pyspark import TaskContext
 
-    part, seq, ids, sigs = TaskContext.get().partitionId(), 0, [], []
+    part, seq, ids, sizes, sigs = TaskContext.get().partitionId(), 0, [], [], []
 
     def row():
-        return pa.RecordBatch.from_arrays([pa.array([(part << 24) + seq], pa.int64()), pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([b"".join(sigs)], pa.binary())], names=["chunk", "ids", "sigs"])
+        return pa.RecordBatch.from_pydict({"chunk": pa.array([(part << 24) + seq], pa.int64()), "ids": pa.array([np.concatenate(ids).tobytes()], pa.binary()), "sizes": pa.array([np.concatenate(sizes).tobytes()], pa.binary()), "sigs": pa.array([b"".join(sigs)], pa.binary())})
 
     for batch in batches:
         for at in range(0, batch.num_rows, PACK):
             some = batch.slice(at, PACK)
-            ids.append(some.column(0).to_numpy()), sigs.extend(some.column(1).to_pylist())
+            ids.append(some.column(0).to_numpy()), sizes.append(some.column(1).to_numpy()), sigs.extend(some.column(2).to_pylist())
             if len(sigs) >= PACK:
                 yield row()
-                seq, ids, sigs = seq + 1, [], []
+                seq, ids, sizes, sigs = seq + 1, [], [], []
     if sigs:
         yield row()
 
 
-def _tokens(ids: bytes, sigs: bytes) -> tuple[np.ndarray, np.ndarray]:
-    cls = np.frombuffer(ids, np.int64)
-    return cls, tokens_of(np.frombuffer(sigs, np.uint32).reshape(len(cls), -1))
+PACK_SCHEMA = "chunk long, ids binary, sizes binary, sigs binary"
+
+
+def _packs(table):
+    for chunk, ids, sizes, sigs in zip(*(table.column(c).to_pylist() for c in ("chunk", "ids", "sizes", "sigs")), strict=True):
+        cls = np.frombuffer(ids, np.int64)
+        yield chunk, cls, np.frombuffer(sizes, np.int64), np.frombuffer(sigs, np.uint32).reshape(len(cls), -1)
+
+
+def _unpack_sigs(batches):
+    for batch in batches:
+        for _, cls, _, sigs in _packs(batch):
+            yield pa.RecordBatch.from_pydict({"cls": pa.array(cls), "sig": pa.array([s.tobytes() for s in sigs], pa.binary())})
 
 
 def _offer(batches, buckets: int):
     for batch in batches:
-        for chunk, ids, sigs in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            found, counts = np.unique(_tokens(ids, sigs)[1], return_counts=True)
+        for chunk, _, _, sigs in _packs(batch):
+            found, counts = np.unique(tokens_of(sigs), return_counts=True)
             yield sent(chunk, found, buckets, narrow(counts))
 
 
@@ -133,10 +153,15 @@ def _tally(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "counts": pa.array([pack(narrow(total[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
 
-def _post(packs: pa.Table, answers: pa.Table, prefix: int, buckets: int) -> pa.Table:
-    out = {c: [np.zeros(0, np.int64)] for c in ("token", "cls", "score", "n")}
-    for _, ids, sigs in zip(*(packs.column(c).to_pylist() for c in ("chunk", "ids", "sigs")), strict=True):
-        cls, t = _tokens(ids, sigs)
+POST_SCHEMA = "token long, cls long, size long, n long, far long, score long"
+
+
+def _post(packs: pa.Table, answers: pa.Table, prefix: int, buckets: int, short: int) -> pa.Table:
+    """Posted tokens: how many classes have each (``n``), how many long lists the class is posted in (``far``) and how
+    shared its posted tokens are (``score``)."""
+    out = {c: [np.zeros(0, np.int64)] for c in ("token", "cls", "size", "n", "far", "score")}
+    for _, cls, size, sigs in _packs(packs):
+        t = tokens_of(sigs)
         found, back = np.unique(t, return_inverse=True)
         counts, cuts = np.zeros(len(found), np.int64), by_bucket(found, buckets)
         for k, payload in zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist(), strict=True):
@@ -145,32 +170,57 @@ def _post(packs: pa.Table, answers: pa.Table, prefix: int, buckets: int) -> pa.T
         order = np.lexsort((t, n), axis=1)[:, :prefix]
         t, n = np.take_along_axis(t, order, axis=1), np.take_along_axis(n, order, axis=1)
         shared = n > 1
-        score = (n * shared).sum(axis=1)
+        shared &= (shared.sum(axis=1) >= LEAST)[:, None]
         out["token"].append(t[shared].view(np.int64))
-        out["cls"].append(np.broadcast_to(cls[:, None], t.shape)[shared])
-        out["score"].append(np.broadcast_to(score[:, None], t.shape)[shared])
         out["n"].append(n[shared])
+        for name, each in (("cls", cls), ("size", size), ("far", (shared & (n > short)).sum(axis=1)), ("score", (n * shared).sum(axis=1))):
+            out[name].append(np.broadcast_to(each[:, None], t.shape)[shared])
     return pa.table({k: np.concatenate(v) for k, v in out.items()})
 
 
-def _agree(batches, matches: int):
+def _merge(batches, percent: int):
+    """Pairs of the members of short lists whose sizes allow the threshold, with the collisions counted so far."""
+    for batch in batches:
+        lists = batch.column(0)
+        lengths = np.diff(lists.offsets.to_numpy())
+        first = np.cumsum(lengths) - lengths
+        cls, size, far = (lists.flatten().field(k).to_numpy() for k in range(3))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n in np.unique(lengths).tolist():
+            at = first[lengths == n][:, None]
+            i, j = np.triu_indices(n, 1)
+            a.append((at + i).ravel()), b.append((at + j).ravel())
+        a, b = np.concatenate(a), np.concatenate(b)
+        ok = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
+        a, b = a[ok], b[ok]
+        if not len(a):
+            continue
+        low, high = np.minimum(cls[a], cls[b]), np.maximum(cls[a], cls[b])
+        more = np.minimum(far[a], far[b])
+        order = np.lexsort((high, low))
+        low, high, more = low[order], high[order], more[order]
+        new = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
+        yield pa.RecordBatch.from_pydict({"a": low[new], "b": high[new], "far": more[new], "collisions": np.diff(np.append(new, len(low)))})
+
+
+def _look_up(batches, matches: int):
+    """The collisions over all coordinates."""
     for batch in batches:
         if batch.num_rows:
-            ok = (_sig_matrix(batch.column(2)) == _sig_matrix(batch.column(3))).sum(axis=1) >= matches
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
+            agree = (_sig_matrix(batch.column(2)) == _sig_matrix(batch.column(3))).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(agree, pa.int64())], names=["a", "b", "collisions"]).filter(pa.array(agree >= matches))
 
 
-def _sets(batches, words: int):
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            part = batch.slice(at, ROWS)
-            sets = shingle_sets(texts_of(part.column(1)), words)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([pack(s[:1], s[1:] - s[:-1]) for s in sets], pa.binary())], names=["cls", "shingles"])
+def _known_sets(cls: list[int], texts: list[bytes], words: int) -> dict[int, np.ndarray]:
+    out = {}
+    for at in range(0, len(cls), ROWS):
+        out |= dict(zip(cls[at : at + ROWS], shingle_sets(texts[at : at + ROWS], words), strict=True))
+    return out
 
 
-def _confirm(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+def _confirm(pairs: pa.Table, texts: pa.Table, words: int, percent: int) -> pa.Table:
     """Of the pairs of one group: those whose sets reach the threshold."""
-    known = {c: np.cumsum(np.concatenate(unpack(x)), dtype=U64) for c, x in zip(sets.column("cls").to_pylist(), sets.column("shingles").to_pylist(), strict=True)}
+    known = _known_sets(texts.column("cls").to_pylist(), texts_of(texts.column("text")), words)
     a, b = [], []
     for x, y in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
         one, two = known[x], known[y]
@@ -180,74 +230,127 @@ def _confirm(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, blocks: DataFrame, matches: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b): those whose signatures agree often enough and whose sets reach the threshold.
-
-    The sets meet in groups of pairs, one for each two blocks of classes, so that a set is sent once for a whole
-    block of partners; where the blocks are cut only matters for the amount that is sent."""
-    sig = classes.select("cls", "sig")
-    both = pairs.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
-    likely = materialize(both.select("a", "b", "sig_a", "sig_b").mapInArrow(lambda x: _agree(x, matches), "a long, b long"), "likely")
-    of = lambda c: blocks.select(F.col("cls").alias(c), F.col("block").alias(f"block_{c}"))
-    group = F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b"))
-    grouped = materialize(likely.join(of("a"), "a").join(of("b"), "b").select(group.alias("group"), "a", "b"), "grouped")
+def _confirmed(pairs: DataFrame, sized: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of the pairs (a, b): those whose sets reach the threshold.
+
+    Pairs meet in groups of about ``GROUP`` pairs and ``GROUP_SHINGLES`` shingles, by the one of the two that has more
+    pairs; if it has more than a group's, its pairs are dealt to several."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("degree"))
+    ends = materialize(ends.join(sized, "cls"), "ends")
+    total = ends.agg(F.sum("degree"), F.sum(F.col("degree") * F.col("size"))).first()
+    if not total[0]:
+        release(ends)
+        return pairs.select("a", "b")
+    groups = max(1, -(-total[0] // (2 * GROUP)), -(-total[1] // GROUP_SHINGLES))
+    of = lambda c: ends.select(F.col("cls").alias(c), F.col("degree").alias(f"degree_{c}"))
+    both = salted_join(salted_join(pairs, of("a"), "a", F.xxhash64("b")), of("b"), "b", F.xxhash64("a"))
+    hub = F.when(F.col("degree_a") >= F.col("degree_b"), F.col("a")).otherwise(F.col("b"))
+    other = F.when(F.col("degree_a") >= F.col("degree_b"), F.col("b")).otherwise(F.col("a"))
+    cut = F.pmod(F.xxhash64(other), F.ceil(F.greatest("degree_a", "degree_b") / F.lit(GROUP)))
+    grouped = materialize(both.select(F.pmod(F.xxhash64(hub, cut), F.lit(groups)).alias("group"), "a", "b"), "grouped")
     needed = grouped.select(F.col("group").alias("where"), F.explode(F.array("a", "b")).alias("cls")).distinct()
-    return materialize(grouped.groupBy("group").cogroup(needed.join(sets, "cls").groupBy("where")).applyInArrow(lambda p, s: _confirm(p, s, percent), "a long, b long"), "links")
-
-
-def _cross(table: pa.Table, matches: int, percent: int) -> pa.Table:
-    """Of two blocks of classes: a spanning forest of the links between classes of different components."""
-    side, cls, component, size = (table.column(c).to_numpy() for c in ("side", "cls", "component", "size"))
-    sig = _sig_matrix(table.column("sig"))
-    x, y = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
-    near_ = component[x][:, None] != component[y][None, :]
-    near_ &= 100 * np.minimum(size[x][:, None], size[y][None, :]) >= percent * np.maximum(size[x][:, None], size[y][None, :])
+    sets = needed.join(texts, "cls").groupBy("where")
+    links = materialize(grouped.groupBy("group").cogroup(sets).applyInArrow(lambda p, t: _confirm(p, t, words, percent), "a long, b long"), "links")
+    release(ends, grouped)
+    return links
+
+
+def _bundle(table: pa.Table) -> pa.Table:
+    """A block of classes as one row."""
+    texts = texts_of(table.column("text"))
+    raw = b"".join(texts)
+    numbers = pack(*(table.column(c).to_numpy().astype(np.int64) for c in ("cls", "component", "size")), np.array([len(t) for t in texts], np.int64))
+    body = pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
+    return pa.table({"block": table.column("block")[:1], "numbers": pa.array([numbers], pa.binary()), "sigs": pa.array([b"".join(table.column("sig").to_pylist())], pa.binary()), "body": pa.array([body], pa.binary())})
+
+
+class _Block:
+    def __init__(self, numbers: bytes, sigs: bytes, body: bytes):
+        self.cls, self.component, self.size, lengths = unpack(numbers)
+        self.sig = np.frombuffer(sigs, np.uint32).reshape(len(self.cls), -1)
+        raw = pa.decompress(body, decompressed_size=int(lengths.sum()), codec="zstd", asbytes=True) if lengths.sum() else b""
+        ends = np.cumsum(lengths)
+        self.texts = [raw[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many items each two sets share."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    some = often > 1  # what one set alone has is in no intersection
+    place = np.cumsum(some) - 1
+    row, column = row[some[column]], place[column[some[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(some.sum()), 4096):
+        a, b = np.searchsorted(column, [low, low + 4096])
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[row[a:b], column[a:b] - low] = 1
+        both += part @ part.T
+    return both
+
+
+def _cross(table: pa.Table, words: int, matches: int, percent: int) -> pa.Table:
+    """Of two blocks, or of one with itself: a spanning forest of the links between different components."""
+    blocks = [_Block(*(table.column(c)[i].as_py() for c in ("numbers", "sigs", "body"))) for i in range(table.num_rows)]
+    x, y = blocks[0], blocks[-1]
+    near_ = (x.component[:, None] != y.component[None, :]) & (100 * np.minimum(x.size[:, None], y.size[None, :]) >= percent * np.maximum(x.size[:, None], y.size[None, :]))
+    if x is y:
+        near_ &= np.triu(np.ones(near_.shape, bool), 1)
     for i in np.flatnonzero(near_.any(axis=1)):
-        near_[i] &= (sig[x[i]] == sig[y]).sum(axis=1) >= matches
+        at = np.flatnonzero(near_[i])
+        near_[i, at[(y.sig[at] == x.sig[i]).sum(axis=1) < matches]] = False
     i, j = np.nonzero(near_)
     out = [np.zeros(0, np.int64)] * 2
     if len(i):
-        used = np.unique(np.concatenate([x[i], y[j]]))
-        sets = {r: np.cumsum(np.concatenate(unpack(table.column("shingles")[int(r)].as_py())), dtype=U64) for r in used.tolist()}
-        flat, row = np.concatenate([sets[r] for r in used.tolist()]), np.repeat(np.arange(len(used)), [len(sets[r]) for r in used.tolist()])
-        _, column, often = np.unique(flat, return_inverse=True, return_counts=True)
-        some = often > 1  # what one set alone has is in no intersection
-        place = np.cumsum(some) - 1
-        row, column = row[some[column]], place[column[some[column]]]
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        both = np.zeros((len(used), len(used)), np.float32)
-        for low in range(0, int(some.sum()), 4096):
-            a, b = np.searchsorted(column, [low, low + 4096])
-            part = np.zeros((len(used), 4096), np.float32)
-            part[row[a:b], column[a:b] - low] = 1
-            both += part @ part.T
-        p, q = np.searchsorted(used, x[i]), np.searchsorted(used, y[j])
-        common = both[p, q].astype(np.int64)
-        ok = 100 * common >= percent * (size[x[i]] + size[y[j]] - common)
+        use_x, at_x = np.unique(i, return_inverse=True)
+        use_y, at_y = np.unique(j, return_inverse=True)
+        sets = []
+        for block, use in ((x, use_x), (y, use_y)):
+            for at in range(0, len(use), ROWS):
+                sets += shingle_sets([block.texts[k] for k in use[at : at + ROWS].tolist()], words)
+        common = shared_counts(sets)[at_x, len(use_x) + at_y].astype(np.int64)
+        ok = 100 * common >= percent * (x.size[i] + y.size[j] - common)
         if ok.any():
-            nodes, roots = forest(cls[x[i[ok]]], cls[y[j[ok]]])
+            nodes, roots = forest(x.cls[i[ok]], y.cls[j[ok]])
             out = [nodes[nodes != roots], roots[nodes != roots]]
     return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
 
 
-def _crossing(entries: DataFrame, classes: DataFrame, sets: DataFrame, blocks: DataFrame, matches: int, percent: int) -> DataFrame:
-    """Links between members of one list that are in different components, found block by block.
-
-    A list only says which blocks meet; two blocks are then compared as a whole in one task, so neither pairs of
-    classes nor lists are sent."""
-    placed = entries.join(blocks, "cls")
-    lists = placed.select("token", "block").distinct()
-    x, y = lists.alias("x"), lists.alias("y")
-    meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.block") <= F.col("y.block"))).select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct()
-    meet = materialize(meet.withColumn("pair", F.xxhash64("x", "y")), "meet")
-    sides = meet.select("pair", F.explode(F.when(F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("block"), F.lit(3).alias("side")))).otherwise(F.array(F.struct(F.col("x").alias("block"), F.lit(1).alias("side")), F.struct(F.col("y").alias("block"), F.lit(2).alias("side"))))).alias("s")).select("pair", "s.*")
-    full = placed.select("cls", "component", "block").distinct().join(classes.select("cls", "size", "sig"), "cls").join(sets, "cls")
-    dealt = sides.join(full, "block").select("pair", "side", "cls", "component", "size", "sig", "shingles")
-    return materialize(dealt.groupBy("pair").applyInArrow(lambda t: _cross(t, matches, percent), "a long, b long"), "links")
-
-
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 64, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, one_row: bool = False) -> DataFrame:
+def _crossing(lists: DataFrame, groups: DataFrame, packs: DataFrame, texts: DataFrame, words: int, matches: int, percent: int) -> DataFrame:
+    """Links between members of one long list that are in different components, found block by block."""
+    labelled = lists.join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    labelled = materialize(labelled, "labelled")
+    several = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
+    entries = materialize(salted_join(labelled, several, "token", F.xxhash64("cls")), "open")
+    release(labelled)
+    if entries.isEmpty():
+        return entries.select(F.col("cls").alias("a"), F.col("head").alias("b"))
+    # a class goes with the head of its most shared list
+    led = materialize(entries.groupBy("cls").agg(F.max_by("head", F.struct("n", "token")).alias("head"), F.first("component").alias("component"), F.first("size").alias("size")), "led")
+    main = led.groupBy("head", "component").agg(F.count("*").alias("k")).groupBy("head").agg(F.max_by("component", F.struct("k", "component")).alias("main"))
+    part = salted_join(led, main, "head", F.xxhash64("cls")).withColumn("pure", F.when(F.col("component") == F.col("main"), F.col("main"))).drop("main")
+    part = part.withColumn("part", F.xxhash64("head", F.col("pure").isNull()))
+    cuts = part.groupBy("part").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("cuts"))
+    placed = materialize(salted_join(part, cuts, "part", F.xxhash64("cls")).select("cls", "component", "size", "pure", F.xxhash64("part", F.pmod(F.xxhash64("cls"), F.col("cuts"))).alias("block")), "placed")
+
+    met = entries.select("token", "cls").join(placed.select("cls", "block", "pure"), "cls").groupBy("token", "block").agg(F.first("pure").alias("pure"))
+    met = met.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("block", "pure"))).alias("m")).select("m").distinct()
+    each = met.select("m", F.posexplode("m").alias("at", "x")).select("x", F.explode(F.slice("m", F.col("at") + 1, F.size("m"))).alias("y"))
+    open_ = (F.col("x.block") == F.col("y.block")) & F.col("x.pure").isNull() | (F.col("x.block") != F.col("y.block")) & ~F.coalesce(F.col("x.pure") == F.col("y.pure"), F.lit(False))
+    meet = materialize(each.filter(open_).select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct(), "meet")
+
+    sigs = packs.mapInArrow(_unpack_sigs, "cls long, sig binary")
+    members = placed.join(texts, "cls").join(sigs, "cls")
+    bundles = materialize(members.groupBy("block").applyInArrow(_bundle, "block long, numbers binary, sigs binary, body binary"), "bundles")
+    sides = meet.select(F.xxhash64("x", "y").alias("pair"), F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    links = materialize(sides.join(bundles, "block").groupBy("pair").applyInArrow(lambda t: _cross(t, words, matches, percent), "a long, b long"), "links")
+    release(entries, led, placed, meet, bundles)
+    return links
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 64, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, one_row: bool = False, short: int = SHORT) -> DataFrame:
     """Links texts whose sets of ``words``-word shingles have a Jaccard similarity of ``percent`` hundredths or more,
     and groups what links reach.
 
@@ -257,12 +360,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     with nothing and is kept. Rows that repeat an id with its text share its values; a null id never is the
     smallest, and its row is kept only if its group has no id. With ``one_row`` a group keeps a single row: of those
     that would be kept the first by a digest of the text, and of repeated ones any. A column named as a result is is
-    dropped; an empty table gives an empty one; long texts are compared whole.
+    dropped; an empty table gives an empty one; long texts are compared whole. Ids are integers or their texts.
     """
     results = ["n_shingles", "component_id", "kept"]
     carry = carried_columns(docs, text_col, results) if carry is None else carry
     matches = match_threshold(coordinates, percent / 100)
-    prefix = coordinates - matches + 1
+    prefix = coordinates - matches + LEAST
     ident, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
     key = F.coalesce(ident, F.xxhash64(text))
     kept = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(None).alias("__none"))
@@ -272,44 +375,66 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
         slim, names = slim.withColumn("__no", F.monotonically_increasing_id()), [*names, "__no"]
     signed = materialize(slim.mapInArrow(lambda b: _sign(b, words, coordinates, names), fields_of(slim, names, "cls long, n_shingles long, sig binary")), "signed")
 
-    first = [F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", F.col("__place.digest").alias("digest"), "__no")).alias("first")] if one_row else []
-    classes = materialize(signed.filter("cls is not null").groupBy("cls").agg(F.min("__place").alias("place"), F.min("__id").alias("least"), F.min("sig").alias("sig"), F.min("n_shingles").alias("size"), *first), "classes")
     buckets = n_buckets(docs.sparkSession)
-    packs = materialize(classes.select("cls", "sig").mapInArrow(_pack, "chunk long, ids binary, sigs binary"), "packs")
+    full = signed.filter("cls is not null")
+    packs = materialize(full.groupBy("cls").agg(F.min("n_shingles").alias("size"), F.min("sig").alias("sig")).mapInArrow(_pack, PACK_SCHEMA), "packs")
     counts = packs.mapInArrow(lambda b: _offer(b, buckets), EXCHANGE_SCHEMA).groupBy("bucket").applyInArrow(_tally, "chunk long, bucket long, counts binary")
-    posted = packs.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(lambda p, a: _post(p, a, prefix, buckets), "token long, cls long, score long, n long")
-    posted = materialize(posted, "posted")
-
-    wanted = posted.select("cls").distinct()
-    places = classes.join(wanted, "cls", "left_semi").select("cls", "place.key", "place.digest")
-    texts = docs.select(key.alias("key"), F.xxhash64(text).alias("digest"), text.alias("text"))
-    found = places.join(texts, ["key", "digest"]).dropDuplicates(["key", "digest"]).select("cls", "text").mapInArrow(lambda x: _sets(x, words), "cls long, shingles binary")
-    sets = materialize(found, "sets")
-    heads = posted.groupBy("token").agg(F.max_by("cls", F.struct("score", "cls")).alias("head"))
-    headed = materialize(posted.join(heads, "token"), "headed")
-    # a class goes with the head of its most shared list; a head's classes are cut into blocks of like size
-    led = headed.groupBy("cls").agg(F.max_by("head", F.struct("n", "token")).alias("head"))
-    groups_ = led.groupBy("head").agg(F.count("*").alias("members"))
-    cut = F.pmod(F.xxhash64("cls"), F.ceil(F.col("members") / BLOCK))
-    blocks = materialize(led.join(groups_, "head").select("cls", F.xxhash64("head", cut).alias("block")), "blocks")
-    rest = headed.filter("cls <> head")
-    stars = rest.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).groupBy("a", "b").agg(F.count("*").alias("collisions"))
-    links = _confirmed(stars.select("a", "b"), classes, sets, blocks, matches, percent)
-    groups = connected_components(links, "a", "b")
-    # pairs with a list's head are settled; the others are open where they are in different components
-    labelled = rest.join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").select("token", "cls", F.coalesce("component", "cls").alias("component"))
-    several = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
-    entries = materialize(labelled.join(several, "token", "left_semi"), "open")
-    links = links.unionByName(_crossing(entries, classes, sets, blocks, matches, percent))
+    posted = materialize(packs.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(lambda p, a: _post(p, a, prefix, buckets, short), POST_SCHEMA), "posted")
+
+    brief = posted.filter(F.col("n") <= short).groupBy("token").agg(F.collect_list(F.struct("cls", "size", "far")).alias("members")).filter(F.size("members") > 1)
+    merged = brief.select("members").mapInArrow(lambda b: _merge(b, percent), "a long, b long, far long, collisions long")
+    merged = merged.groupBy("a", "b").agg(F.sum("collisions").alias("collisions"), F.max("far").alias("far")).filter(F.col("collisions") + F.col("far") >= LEAST)
+    long = posted.filter(F.col("n") > short)
+    heads = long.groupBy("token").agg(F.max_by("cls", F.struct("score", "cls")).alias("head"))
+    lists = materialize(salted_join(long, heads, "token", F.xxhash64("cls")).select("token", "cls", "size", "n", "head"), "lists")
+    stars = lists.filter("cls <> head").select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b"))
+    candidates = materialize(merged.select("a", "b").unionByName(stars).distinct(), "candidates")
+    sigs = packs.mapInArrow(_unpack_sigs, "cls long, sig binary")
+    of = lambda c: sigs.select(F.col("cls").alias(c), F.col("sig").alias(f"sig_{c}"))
+    looked = candidates.join(of("a"), "a").join(of("b"), "b")
+    likely = materialize(looked.select("a", "b", "sig_a", "sig_b").mapInArrow(lambda b: _look_up(b, matches), "a long, b long, collisions long"), "likely")
+    release(candidates)
+
+    # one row a class: its set's size, and the place of one text that has it
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(lists.select("cls")).distinct()
+    places = full.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("__place").alias("place"), F.min("n_shingles").alias("size"))
+    places = materialize(places.select("cls", "size", "place.key", "place.digest"), "places")
+    found = docs.select(key.alias("key"), F.xxhash64(text).alias("digest"), text.alias("text")).join(places, ["key", "digest"]).groupBy("cls").agg(F.first("text").alias("text"))
+    texts = materialize(found, "texts")
+    sized = places.select("cls", "size")
+
+    ends = likely.select(F.explode(F.array(F.struct(F.col("a").alias("cls"), F.col("b").alias("other"), "collisions"), F.struct(F.col("b").alias("cls"), F.col("a").alias("other"), "collisions"))).alias("e")).select("e.*")
+    best = ends.groupBy("cls").agg(F.max_by("other", F.struct("collisions", "other")).alias("other"))
+    best = materialize(best.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct(), "best")
+    links = _confirmed(best, sized, texts, words, percent)
     groups = connected_components(links, "a", "b")
-
-    member = classes.select("cls", "least", *(["first"] if one_row else [])).join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    of = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"component_{c}"))
+    apart = F.coalesce("component_a", "a") != F.coalesce("component_b", "b")
+    others = likely.join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left").filter(apart)
+    others = materialize(others.select("a", "b"), "others")
+    if not others.isEmpty():
+        more = _confirmed(others, sized, texts, words, percent)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            groups = connected_components(links, "a", "b")
+    if not lists.isEmpty():
+        crossing = _crossing(lists, groups, packs, texts, words, matches, percent)
+        if not crossing.isEmpty():
+            groups = connected_components(links.unionByName(crossing), "a", "b")
+
+    # rows alone in their group keep their own id; all others get the group's
+    first = [F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", F.col("__place.digest").alias("digest"), "__no")).alias("first")] if one_row else []
     least = [F.min("first").alias("one")] if one_row else []
-    heads = member.groupBy("component").agg(F.min("least").alias("component_id"), *least)
-    named = member.join(heads, "component").select("cls", "component_id", *(["one"] if one_row else []))
-    out = signed.drop("sig", "__place").join(named, "cls", "left").withColumn("component_id", F.when(F.col("cls").isNull(), F.col("__id")).otherwise(F.col("component_id")))
+    classes = full.groupBy("cls").agg(F.min("__id").alias("least"), F.count("*").alias("copies"), *first)
+    member = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").filter("copies > 1 or component is not null").withColumn("component", F.coalesce("component", "cls"))
+    member = materialize(member, "member")
+    names_of = member.groupBy("component").agg(F.min("least").alias("component_id"), *least)
+    named = salted_join(member.select("cls", "component"), names_of, "component", F.xxhash64("cls")).select("cls", "component_id", *(["one"] if one_row else []), F.lit(True).alias("grouped"))
+    out = salted_join(signed.drop("sig"), named, "cls", F.xxhash64("__place"), "left")
+    out = out.withColumn("component_id", F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("__id")))
     kept = F.coalesce(F.col("__id") == F.col("component_id"), F.col("component_id").isNull())
     if one_row:
-        kept = F.col("cls").isNull() | (F.col("__no") == F.col("one.__no"))
+        kept = F.col("grouped").isNull() | (F.col("__no") == F.col("one.__no"))
     columns = [F.col(f"__row.`{c}`") for c in carry]
+    release(packs, posted, lists, likely, places, texts, best)
     return out.select(*columns, "n_shingles", "component_id", kept.alias("kept"))
