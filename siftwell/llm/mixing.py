@@ -6,10 +6,12 @@ target: a queue reaches 1 when the source has reached its target. All queues are
 these times and cut where the total budget is spent.
 
 The running sums are made in two levels, so that no task holds a source and none holds the whole order: words by
-(source, bucket of the digest) give each bucket its offset, and a window runs within a bucket only. The cut is
-found on a grid of the finish times, then on a grid within the one cell that holds it, and exactly within the
-last small cell; what reaches the driver are the two cells' numbers and the last place taken. Rows are shuffled
-once.
+(source, bucket of the digest) give each bucket its offset, and a window runs within a bucket only. The queues hold
+digests and sizes, never rows. Instead of range-sorting all finish times and walking to the budget, the cut is
+searched on a grid of the times, then on a grid within the one cell that holds it, and exactly within the last small
+cell: the same documents as the sort would give. What reaches the driver are the two cells' numbers and the last place
+taken. Within a source the order of the times is the order of the digests, so the cut is one digest for each source
+and epoch; the rows themselves are joined with these few and never shuffled.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, carried_columns, materialize
+from .common import WORD, materialize, release
 
 BUCKET_DIGITS = 3  # of the digest, in base 16: 4096 buckets in each source
 CELLS = 4096
@@ -72,8 +74,8 @@ def fair_mix(
     documents, and no source gets more than ``most`` times its own. Returns a row for each row of ``docs`` with
     the columns ``carry`` (unset: all), ``size`` (words; null text: 0), ``source_size``, ``target``, ``copies``
     (epochs in which the mix takes the row) and ``taken`` (its words, repeats counted). Null sources are one
-    source. Rows of no words take nothing. Rows with one id, and null ids, are told apart by their text; equal rows
-    are taken together or not at all. Columns named as a result is are dropped; an empty table gives an empty
+    source. Rows of no words take nothing. Rows without an id are told apart by their text; rows with one id and size
+    in a source are taken together or not at all. Columns named as a result is are dropped; an empty table gives an empty
     one. Reruns agree.
     """
     results = ["size", "source_size", "target", "copies", "taken"]
@@ -81,35 +83,45 @@ def fair_mix(
     text, source = F.col(f"`{text_col}`"), F.col(f"`{source_col}`").cast("string")
     key = F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), text, F.lit("")).cast("binary"))
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-    kept = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")
-    sized = materialize(docs.select(kept, source.alias("source"), size.alias("size"), key.alias("key"), F.conv(F.substring(key, 1, BUCKET_DIGITS), 16, 10).cast("int").alias("bucket")), "sized")
+    bucket = F.conv(F.substring("key", 1, BUCKET_DIGITS), 16, 10).cast("int")
+    # equal rows are one entry: the queues hold (source, key, size) and no rows
+    slim = docs.select(source.alias("source"), size.alias("size"), key.alias("key")).groupBy("source", "key", "size").agg(F.sum("size").alias("words"))
+    sized = materialize(slim.withColumn("bucket", bucket), "sized")
 
-    by_bucket = materialize(sized.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "buckets")
+    by_bucket = materialize(sized.groupBy("source", "bucket").agg(F.sum("words").alias("words")), "buckets")
     targets = source_targets(by_bucket.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
+    targets = materialize(targets, "targets")
     in_source = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_bucket.withColumn("offset", F.coalesce(F.sum("words").over(in_source), F.lit(0)))
     o, t = offsets.alias("o"), targets.alias("t")
     offsets = o.join(t, F.col("o.source").eqNullSafe(F.col("t.source"))).select(F.col("o.source").alias("__s"), F.col("o.bucket").alias("__b"), "offset", "source_size", "target")
 
     in_bucket = Window.partitionBy("source", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = sized.withColumn("within", F.sum("size").over(in_bucket))
-    rows = rows.join(offsets, F.col("source").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
+    queues = sized.withColumn("within", F.sum("words").over(in_bucket))
+    queues = queues.join(offsets, F.col("source").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
     end = F.col("offset") + F.col("within")
     epochs = max(1, math.ceil(most))
     times = F.array(*[F.when(F.col("target") > 0, (end + F.col("source_size") * e) / F.col("target")).otherwise(F.lit(0.0)) for e in range(epochs)])
-    timed = materialize(rows.select("row", "size", "source_size", "target", "key", times.alias("times")), "timed")
-
-    budget = sized.agg(F.sum("size")).first()[0] or 0
-    budget = min(share, most) * budget
-    cut = _cut(timed.select("size", "key", F.explode("times").alias("f")).filter("size > 0"), budget)
-    if cut is None:
-        copies = F.lit(0)
-    else:
-        f, k = cut
-        copies = functools.reduce(operator.add, [((F.col("times")[e] < F.lit(f)) | ((F.col("times")[e] == F.lit(f)) & (F.col("key") <= F.lit(k)))).cast("int") for e in range(epochs)])
+    timed = materialize(queues.filter("size > 0").select("source", "key", "size", "words", times.alias("times")), "timed")
+
+    budget = min(share, most) * (by_bucket.agg(F.sum("words")).first()[0] or 0)
+    cut = _cut(timed.select(F.col("words").alias("size"), "key", F.explode("times").alias("f")), budget)
+    # within a source times go with (key, size), so the cut is a place in each source's order for each epoch
+    inside = lambda e: F.lit(False) if cut is None else (F.col("times")[e] < F.lit(cut[0])) | ((F.col("times")[e] == F.lit(cut[0])) & (F.col("key") <= F.lit(cut[1])))
+    place = lambda e: F.max(F.when(inside(e), F.struct("key", "size"))).alias(f"last_{e}")
+    lasts = timed.groupBy("source").agg(*[place(e) for e in range(epochs)])
+    t, u = targets.alias("t"), lasts.alias("u")
+    ends = t.join(u, F.col("t.source").eqNullSafe(F.col("u.source")), "left").select(F.col("t.source").alias("__s"), "source_size", "target", *[f"last_{e}" for e in range(epochs)])
+    ends = materialize(ends, "ends")
+    release(sized, by_bucket, targets, timed)
+
+    row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(None).alias("__none"))
+    rows = docs.select(row.alias("__row"), source.alias("__source"), size.alias("size"), key.alias("key"))
+    rows = rows.join(ends, F.col("__source").eqNullSafe(F.col("__s")))
+    copies = functools.reduce(operator.add, [F.coalesce(F.struct("key", "size") <= F.col(f"last_{e}"), F.lit(False)).cast("int") for e in range(epochs)])
     copies = F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("int")
     taken = (copies * F.col("size")).cast("long")
-    return timed.select("row.*", "size", "source_size", "target", copies.alias("copies"), taken.alias("taken"))
+    return rows.select(*[F.col(f"__row.`{c}`") for c in carry], "size", "source_size", "target", copies.alias("copies"), taken.alias("taken"))
 
 
 def _cut(entries: DataFrame, budget: float) -> tuple[float, str] | None:
@@ -135,11 +147,11 @@ def _cut(entries: DataFrame, budget: float) -> tuple[float, str] | None:
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as the mix takes it."""
-    mixed = fair_mix(docs, carry=docs.columns, **options) if not {c.lower() for c in docs.columns} & {"size", "source_size", "target", "copies", "taken"} else None
-    if mixed is None:
-        raise ValueError("rename the columns size, source_size, target, copies and taken first")
-    return mixed.filter("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The mix itself: each row of ``docs`` as often as the mix takes it, with its own columns whatever their names."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")
+    named = {k: options.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))}
+    mixed = fair_mix(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys(named.values())], whole), carry=["__doc"], **options)
+    return mixed.filter("copies > 0").select("__doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__doc.*")
 
 
 def oracle_sql() -> str:
