@@ -223,6 +223,23 @@ def test_near_duplicates(docs, texts, size):
     assert got == {i: (len(sets[i]), roots[i], roots[i] == i) for i in texts}
 
 
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates_of_long_lists(spark, docs, texts, size):
+    """Every list is a long one here: heads and blocks settle all."""
+    rng = random.Random(12)
+    base = [rng.choice(WORDS) for _ in range(60)]
+    more = dict(texts)
+    for i in range(1000, 1080):
+        w = list(base)
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(60)] = rng.choice(WORDS) + "x"
+        more[i] = " ".join(w)
+    rows = spark.createDataFrame(list(more.items()), "doc_id long, text string").repartition(3)
+    sets, roots = near(more, size)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(rows, words=size, short=2).collect()}
+    assert got == {i: (len(sets[i]), roots[i], roots[i] == i) for i in more}
+
+
 # ----------------------------------------------------------------------------------------- 6: vectors
 
 
@@ -449,3 +466,18 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     assert got[2:] == [(5, p), (6, "alone"), (7, ""), (7, "")]
     cut = {r["doc_id"]: r["text"] for r in P.cut_repeated_passages(spark, kept.filter("doc_id = 5 or doc_id = 6"), "").collect()}
     assert cut == {5: p, 6: "alone"}
+
+
+def test_pipeline_keeps_clashing_columns(spark):
+    import corpus_pipeline as P
+
+    extra = ["kept", "size", "n_words", "copies", "score", "predicted", "component_id", "spans", "target", "cls", "key"]
+    rows = [(i, f"{' '.join(WORDS[i : i + 50])} {i}", "en", "s", 9, *range(len(extra))) for i in range(8)] + [(8, None, "en", None, 0, *range(len(extra)))]
+    docs = spark.createDataFrame(rows, DOCS + "".join(f", {c} long" for c in extra))
+    labels = spark.createDataFrame([(i, 0) for i in range(9)], "doc_id long, toxic int")
+    labels.write.mode("overwrite").parquet(f"{common.scratch_root(spark)}/clash/labels.parquet")
+    for name, stage in P.STAGES[:4]:
+        docs = P.materialize(stage(spark, docs, f"{common.scratch_root(spark)}/clash"), name)
+        got = [r.asDict() for r in docs.collect()]
+        assert docs.columns == [*DOCS.replace(" long", "").replace(" string", "").split(", "), *extra], name
+        assert got and all(r[c] == k for r in got for k, c in enumerate(extra)), name
