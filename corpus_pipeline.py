@@ -18,33 +18,42 @@ from siftwell.llm.substring_dedup import remove_repeated_passages
 from siftwell.llm.toxicity import score_toxicity, train
 
 
+def whole(docs: DataFrame) -> DataFrame:
+    """Id and text, and all columns as one, so that none of them clashes with an operator's results."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts to be toxic go."""
+    """Documents that the classifier predicts to be toxic go; null and empty texts stay, repeated rows go together.
+    Without toxic labels nothing goes."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model, keep_text=True).filter("predicted = 0").select(docs.columns)
+    return score_toxicity(whole(docs), model, carry=["__doc"]).filter("predicted = 0").select("__doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates stays, one with the smallest id; of a group without ids, any one."""
-    return near_duplicates(docs, words=5, percent=80, carry=docs.columns, one_row=True).filter("kept").select(docs.columns)
+    """One row of each group of near duplicates stays, one with the smallest id; of a group without ids, any one. Rows
+    without words (null, empty, blank) all stay."""
+    return near_duplicates(whole(docs), words=5, percent=80, carry=["__doc"], one_row=True).filter("kept").select("__doc.*")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 35 words and more that occur elsewhere too are cut out of the texts."""
-    out = remove_repeated_passages(docs, window_words=35, carry=[c for c in docs.columns if c != "text"], layout=True)
-    out = out.withColumn("text", F.col("kept"))
+    """Passages of 35 words and more that occur elsewhere too are cut out of the texts. All rows stay; a text that is
+    cut whole, and a null one, is empty."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__doc")
+    out = remove_repeated_passages(docs.select("doc_id", "text", rest), window_words=35, carry=["__doc"], layout=True)
+    new = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+        new["n_chars"] = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col(f"__doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix of its source takes it."""
+    """Every document as often as the mix of its source takes it; documents without words are in no mix."""
     return mix_documents(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the digest of what they decode to."""
+    """Token ids of every document, and the digest of what they decode to; none for a null or empty text."""
     import public_tokenizers
 
     out = encode_and_decode(docs, public_tokenizers.path(TOKENIZER), carry=[c for c in docs.columns if c not in ("text", "n_chars")])
