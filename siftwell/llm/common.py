@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import struct
 import tempfile
 import uuid
@@ -77,11 +78,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(*tables: DataFrame) -> None:
-    """Deletes tables of ``materialize`` whose every reader has been written itself."""
+    """Deletes tables of ``materialize`` whose every reader has been written itself, and has the driver look for
+    exchanges that nothing refers to any more, whose files the executors then delete."""
     for table in tables:
         jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
         path = jvm.org.apache.hadoop.fs.Path(table._scratch.rpartition("/")[0])
         path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    SparkSession.active()._jvm.System.gc()
 
 
 def salted_join(many: DataFrame, few: DataFrame, key: str, spread: Column, how: str = "inner", salts: int = 16) -> DataFrame:

@@ -397,9 +397,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
 
     # one row a class: its set's size, and the place of one text that has it
     wanted = likely.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(lists.select("cls")).distinct()
-    places = full.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("__place").alias("place"), F.min("n_shingles").alias("size"))
+    places = full.groupBy("cls").agg(F.min("__place").alias("place"), F.min("n_shingles").alias("size")).join(wanted, "cls", "left_semi")
     places = materialize(places.select("cls", "size", "place.key", "place.digest"), "places")
-    found = docs.select(key.alias("key"), F.xxhash64(text).alias("digest"), text.alias("text")).join(places, ["key", "digest"]).groupBy("cls").agg(F.first("text").alias("text"))
+    # one plan at every size: the texts are dealt by their keys, however few are wanted
+    found = docs.select(key.alias("key"), F.xxhash64(text).alias("digest"), text.alias("text")).hint("merge").join(places.hint("merge"), ["key", "digest"]).groupBy("cls").agg(F.first("text").alias("text"))
     texts = materialize(found, "texts")
     sized = places.select("cls", "size")
 
