@@ -1,24 +1,21 @@
-"""Operator 1: language-model scores from a probabilistic suffix tree.
-
-The tree predicts a text symbol by symbol: the bytes of its lower-cased words, one space between words, and an end.
-(This is the token sequence, words and end, and nothing else, so the product is a probability of the tokens.)
-A node is a context of up to ``depth`` symbols. It is retained if it is frequent enough (``least_share`` of all
-positions) and if the divergence of its next-symbol counts from its parent's distribution, the count times the
-Kullback-Leibler divergence, is ``least_gain`` nats or more; so are the shorter contexts that it ends in. Next
-symbols are smoothed towards the parent: (count + k * parent) / (total + k), k being the number of different next
-symbols, and each symbol is predicted from its longest retained suffix state.
-
-The score is one of the text: its words as spelt, and the end. With e for the share of training words that were seen
-once, and the tree's probability of a word for the product over its symbols and the one that closes it, an unseen
-word has e * tree's and a seen one (1 - e) * (share * count / words + (1 - share) * tree's). These add up to 1 at
-most, and no look at a text's own later words is taken. The base score differs here: it has one event for all unseen
-words, whatever their spelling.
-
-Every chunk of training texts sends its distinct (symbol, context) counts to the bucket of the context's last two
-symbols, and its distinct words with their counts to the bucket of the word's hash. A bucket sums them, returns the
-frequent contexts, and answers each chunk with its words' counts in the whole corpus. The tree has at most
-depth / least_share contexts by construction, whatever the corpus; that is what the driver assembles and what is
-broadcast. The words' counts, which grow with the corpus, never leave the executors.
+"""Operator 1: language-model scores from a probabilistic suffix tree over words.
+
+The symbols are a text's lower-cased words and its end; all words that training has not seen are one symbol. A context
+is the last 1 to ``depth`` symbols, of which the oldest may be the start of the text. The root predicts by counts plus
+one: (count + 1) / (tokens + distinct + 1). A context that occurs twice or more in training is retained by a divergence
+test: the count-weighted log ratio of its next-symbol distribution, each symbol's own occurrence left out, to that of
+the longest retained shorter context must reach ``least_gain`` nats. (Without the leaving out, every rare context would
+pass, as its few next symbols are all it has.) A retained context's distribution is smoothed towards that shorter
+context's: (count + kinds * shorter) / (total + kinds), kinds being its different next symbols; it sums to 1 over all
+words, the unseen symbol and the end. The score takes each symbol from its longest retained context, which is the
+longest suffix state of the text so far.
+
+The tree has no bound but the corpus, and is never in one place. Level by level, every chunk sends its distinct
+(context, next symbol) pairs with their training counts, and the shorter context's probability in eighths of a bit, to
+the bucket of the context's hash. The bucket sums, tests, and answers each chunk with what it needs: counts of its
+pairs, totals and kinds of its contexts. A context that occurs once cannot be retained and is not sent; nor are the
+longer ones of a context with a single next symbol, whose gain is below one nat. Contexts are told apart by 64 bits of
+hash, the next symbols of one context by 32.
 """
 
 from __future__ import annotations
@@ -30,14 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_COLUMNS, LOWER, U64, Chunk, by_bucket, carried_columns, chunk_table, doc_of, fields_of, materialize, mix, n_buckets, narrow, pack, received, sent, unpack, word_hashes, word_spans
+from .common import CHUNK_COLUMNS, LOWER, NO_ID, U64, Chunk, by_bucket, carried_columns, chunk_table, doc_of, fields_of, materialize, mix, n_buckets, narrow, pack, received, release, rolling, sent, unpack, word_hashes, word_spans
 
-END = 65  # no upper-case letter is left in a lower-cased text
-SPACE = 32
-PAD = 7
-WORDS, GRAMS, ANSWER, TOTALS, CONTEXTS = range(5)
-MOST_GRAMS = 2_000_000
-ROW_SCHEMA = "bucket long, chunk long, kind int, payload binary"
+START, END = U64(0x5BD1E9955BD1E995), U64(0x2545F4914F6CDD1D)  # in the place of a word's hash
+TOTALS = -1  # the bucket of the training totals
+ANSWER_SCHEMA = "level int, bucket long, chunk long, payload binary"
+SENT_SCHEMA = "bucket long, chunk long, payload binary"
 
 
 def is_held_out(ids: np.ndarray, none: int, folds: int, fold: int) -> np.ndarray:
@@ -45,303 +40,246 @@ def is_held_out(ids: np.ndarray, none: int, folds: int, fold: int) -> np.ndarray
 
 
 class _Stream:
-    """A chunk's texts as symbols: for each, PAD ends (the context of its start), its words, an end."""
+    """A chunk's texts as symbols: of each a start, its words and an end."""
 
-    def __init__(self, chunk: Chunk):
+    def __init__(self, chunk: Chunk, folds: int, fold: int):
         buf = LOWER[chunk.buf]
-        self.starts, self.ends = word_spans(buf)
-        self.hashes = word_hashes(buf, self.starts, self.ends)
-        self.doc = doc_of(chunk, self.starts)
+        starts, ends = word_spans(buf)
+        self.hashes = word_hashes(buf, starts, ends)
+        doc = doc_of(chunk, starts)
         n = len(chunk)
-        self.first = np.searchsorted(self.doc, np.arange(n + 1))
-        keep = np.ones(len(buf), bool)
-        keep[buf == 32] = False
-        keep[(buf >= 9) & (buf <= 13)] = False
-        symbols = buf.copy()
-        keep[self.ends], symbols[self.ends] = True, SPACE
-        full = np.flatnonzero(self.first[1:] > self.first[:-1])
-        close = chunk.ends.copy()
-        close[full] = self.ends[self.first[full + 1] - 1]
-        keep[close], symbols[close] = True, END
-        body = symbols[keep]
-        size = np.cumsum(keep)[close]  # symbols up to each end
-        begin = np.concatenate([[0], size[:-1]])
-        out = np.full(len(body) + PAD * n, END, np.uint8)
-        spots = np.arange(len(body)) + PAD * (np.repeat(np.arange(n), size - begin) + 1)
-        out[spots] = body
-        self.symbols, self.spots, self.begin, self.owner = out, spots, begin, np.repeat(np.arange(n), size - begin)
-
-
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
-    new = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
-    return k[new], np.add.reduceat(c, new) if len(new) else c
-
-
-def _rows(found: list) -> pa.Table:
-    cols = list(zip(*found, strict=True)) if found else [[], [], [], []]
-    return pa.table({"bucket": pa.array(cols[0], pa.int64()), "chunk": pa.array(cols[1], pa.int64()), "kind": pa.array(cols[2], pa.int32()), "payload": pa.array(cols[3], pa.binary())})
-
-
-def _gram_rows(keys: np.ndarray, counts: np.ndarray, buckets: int) -> list:
-    bucket = (mix((keys >> U64(40)) & U64(0xFFFF)) % U64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    bucket, keys, counts = bucket[order], keys[order], counts[order]
-    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    return [(int(bucket[a]), -1, GRAMS, pack(keys[a : a + 1], narrow(keys[a + 1 : b] - keys[a : b - 1]), narrow(counts[a:b]))) for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True)]
-
-
-def _count(batches, buckets: int, depth: int, folds: int, fold: int, none: int):
-    """Words by chunk; contexts by task, in parts of MOST_GRAMS distinct ones."""
-    keys, counts, size = [], [], 0
-    mask = U64(((1 << (8 * (depth + 1))) - 1) << (8 * (7 - depth)))
+        self.words = np.bincount(doc, minlength=n).astype(np.int64)
+        self.symbols = np.empty(len(doc) + 2 * n, U64)
+        self.begin = np.cumsum(self.words + 2) - (self.words + 2)
+        self.at_word = np.arange(len(doc)) + 2 * doc + 1
+        self.symbols[self.begin], self.symbols[self.begin + self.words + 1] = START, END
+        self.symbols[self.at_word] = self.hashes
+        self.doc = np.repeat(np.arange(n), self.words + 2)
+        self.place = np.arange(len(self.symbols)) - self.begin[self.doc]
+        self.held_out = is_held_out(chunk.ids, NO_ID, folds, fold)
+        self.train = ~self.held_out[self.doc]
+
+
+class _Pairs:
+    """The distinct (context, next symbol) pairs at some places: contexts in the order of their hashes."""
+
+    def __init__(self, s: _Stream, depth: int, at: np.ndarray):
+        context, symbol = rolling(s.symbols, depth)[at - depth], (mix(s.symbols[at]) >> U64(32)).astype(np.uint32)
+        order = np.lexsort((symbol, context))
+        context, symbol = context[order], symbol[order]
+        new_context = np.concatenate([[True], context[1:] != context[:-1]]) if len(at) else np.zeros(0, bool)
+        new = new_context | np.concatenate([[True], symbol[1:] != symbol[:-1]]) if len(at) else new_context
+        self.at, self.first = at, order[new]  # places, and one of each pair
+        self.back = np.empty(len(at), np.int64)
+        self.back[order] = np.cumsum(new) - 1
+        self.contexts, self.symbols = context[new_context], symbol[new]
+        self.context_of = (np.cumsum(new_context) - 1)[new]
+        self.counts = np.bincount(self.back[s.train[at]], minlength=len(self.symbols))
+
+    def send(self, chunk: int, shorter: np.ndarray, buckets: int) -> list:
+        code = np.clip(np.rint(-8 * np.log2(shorter[self.first])), 0, 255).astype(np.uint8)
+        per = np.bincount(self.context_of, minlength=len(self.contexts))
+        cuts, ends = by_bucket(self.contexts, buckets), np.concatenate([[0], np.cumsum(per)])
+        out = []
+        for k in range(buckets):
+            a, b = cuts[k], cuts[k + 1]
+            if a < b:
+                h, part = self.contexts[a:b], slice(ends[a], ends[b])
+                out.append((k, chunk, pack(h[:1], narrow(h[1:] - h[:-1]), narrow(per[a:b]), self.symbols[part], code[part], narrow(self.counts[part]))))
+        return out
+
+
+def _rows(found: list, names: tuple[str, ...]) -> pa.Table:
+    types = {"level": pa.int32(), "payload": pa.binary()}
+    cols = list(zip(*found, strict=True)) if found else [[] for _ in names]
+    return pa.table({n: pa.array(c, types.get(n, pa.int64())) for n, c in zip(names, cols, strict=True)})
+
+
+def _words(batches, buckets: int, folds: int, fold: int):
+    """Each chunk's distinct words with their training counts, and its training totals."""
     for batch in batches:
         for chunk in Chunk.each(batch):
-            s, train = _Stream(chunk), ~is_held_out(chunk.ids, none, folds, fold)
-            out = []
+            s, rows = _Stream(chunk, folds, fold), []
             if len(s.hashes):
                 words, back = np.unique(s.hashes, return_inverse=True)
-                c = np.bincount(back[train[s.doc]], minlength=len(words)) if len(words) else np.zeros(0, np.int64)
-                found = sent(chunk.number, words, buckets, narrow(c))
-                out = [(k, c_, WORDS, p) for k, c_, p in zip(*(found.column(i).to_pylist() for i in range(3)), strict=True)]
-            out.append((chunk.number % buckets, chunk.number, TOTALS, pack(np.array([0, np.diff(s.first)[train].sum() + train.sum(), train.sum(), 0], np.int64))))
-            yield from _rows(out).to_batches()
-            at = s.spots[train[s.owner]]
-            if len(at):
-                windows = np.ndarray((len(s.symbols) - 7,), "<u8", s.symbols, strides=(1,))  # the symbol, then its context backwards
-                k, c = np.unique(windows[at - 7] & mask, return_counts=True)
-                keys.append(k), counts.append(c)
-                size += len(k)
-            if size > MOST_GRAMS:
-                k, c = _merge(keys, counts)
-                keys, counts, size = [k], [c], len(k)
-                if size > MOST_GRAMS:
-                    yield from _rows(_gram_rows(k, c, buckets)).to_batches()
-                    keys, counts, size = [], [], 0
-    if size:
-        yield from _rows(_gram_rows(*_merge(keys, counts), buckets)).to_batches()
-
-
-def prefix_sums(keys: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of (symbol, context of a depth) from sorted keys of a greater depth."""
-    return _merge([keys & U64(((1 << (8 * (depth + 1))) - 1) << (8 * (7 - depth)))], [counts])
-
-
-def frequent(keys: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
-    """Which (symbol, context) entries have a context that occurs ``least`` times."""
-    _, back = np.unique(keys & U64((1 << 56) - 1), return_inverse=True)
-    return np.bincount(back, weights=counts)[back] >= least
-
-
-def _sum(table: pa.Table, depth: int, least: float) -> pa.Table:
-    bucket, out = table.column("bucket")[0].as_py(), []
-    words, counts, sizes, chunks, keys, grams, totals = [], [], [], [], [], [], np.zeros(4, np.int64)
-    for chunk, kind, payload in zip(*(table.column(c).to_pylist() for c in ("chunk", "kind", "payload")), strict=True):
-        if kind == WORDS:
-            h, c = received(payload)
-            words.append(h), counts.append(c.astype(np.int64)), sizes.append(len(h)), chunks.append(chunk)
-        elif kind == GRAMS:
-            first, steps, c = unpack(payload)
-            keys.append(np.cumsum(np.concatenate([first, steps.astype(U64)]), dtype=U64)), grams.append(c.astype(np.int64))
+                found = sent(chunk.number, words, buckets, narrow(np.bincount(back[s.train[s.at_word]], minlength=len(words))))
+                rows = list(zip(*(found.column(i).to_pylist() for i in range(3)), strict=True))
+            train = ~s.held_out
+            rows.append((chunk.number % buckets, TOTALS, pack(np.array([(s.words[train] + 1).sum(), train.sum()], np.int64))))
+            yield from _rows(rows, ("bucket", "chunk", "payload")).to_batches()
+
+
+def _sum_words(table: pa.Table) -> pa.Table:
+    """Of one bucket: the words' counts for each chunk, and the totals: tokens, texts, distinct words."""
+    bucket, totals, out = table.column("bucket")[0].as_py(), np.zeros(3, np.int64), []
+    chunks, words, counts = [], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    for chunk, payload in zip(table.column("chunk").to_pylist(), table.column("payload").to_pylist(), strict=True):
+        if chunk == TOTALS:
+            totals[:2] += unpack(payload)[0]
         else:
-            totals += unpack(payload)[0]
-    if words:
-        groups, back = np.unique(np.concatenate(words), return_inverse=True)
-        total = np.bincount(back, weights=np.concatenate(counts), minlength=len(groups)).astype(np.int64)
-        totals[0] += int((total > 0).sum())
-        totals[3] += int((total == 1).sum())
-        every, at = total[back], 0
-        for chunk, n in zip(chunks, sizes, strict=True):
-            out.append((bucket, chunk, ANSWER, pack(narrow(every[at : at + n]))))
-            at += n
-    out.append((bucket, -1, TOTALS, pack(totals)))
-    if keys:
-        k, c = _merge(keys, grams)
-        for d in range(depth, 1, -1):
-            k, c = prefix_sums(k, c, d)
-            ok = frequent(k, c, least)
-            if d == 2:  # what is not frequent still counts for shorter contexts
-                one, total = prefix_sums(k[~ok], c[~ok], 1)
-                out.append((bucket, 1, CONTEXTS, pack(one, narrow(total))))
-            if ok.any():
-                out.append((bucket, d, CONTEXTS, pack(k[ok], narrow(c[ok]))))
-    return _rows(out)
-
-
-class Tree:
-    """Child states by (state, preceding symbol) and log10 probabilities by (state, next symbol), dense over the
-    symbols in use; the rarest bytes are one symbol, which is then split by their counts."""
-
-    def __init__(self, entries: dict[int, tuple[np.ndarray, np.ndarray]], depth: int, least: float, least_gain: float):
-        two, c2 = entries.get(2, (np.zeros(0, U64), np.zeros(0, np.int64)))
-        one, c1 = entries.get(1, (np.zeros(0, U64), np.zeros(0, np.int64)))
-        one, c1 = prefix_sums(np.concatenate([one, two]), np.concatenate([c1, c2]), 1)
-        entries = {**entries, 1: (one, c1)}
-        zero, c0 = prefix_sums(one, c1, 0)
-        bytes_ = np.zeros(256, np.int64)
-        bytes_[(zero >> U64(56)).astype(np.int64)] = c0
-        rare = np.ones(256, bool)
-        order = np.argsort(-bytes_, kind="stable")
-        in_use = [b for b in order.tolist() if bytes_[b] >= max(least, 1)][:96]
-        rare[in_use] = False
-        self.a = len(in_use) + 1
-        self.symbol = np.full(256, self.a - 1, np.int64)
-        self.symbol[in_use] = np.arange(len(in_use))
-        pool = bytes_[rare].sum() + rare.sum()
-        self.within = np.where(rare, np.log10((bytes_ + 1) / pool), 0.0)
-        root = np.bincount(self.symbol, weights=bytes_, minlength=self.a)
-        root = (root + 1) / (root.sum() + self.a)
-
-        probs = [root[None, :]]
-        children: list[tuple[int, int, int]] = []
-        # top-down: candidates of each depth whose parent is a candidate; gains; then closure from below
-        levels = []
-        parents = {0: root}
-        for d in range(1, depth + 1):
-            k, c = entries.get(d, (np.zeros(0, U64), np.zeros(0, np.int64)))
-            if not len(k):
-                break
-            ok = frequent(k, c, least)
-            k, c = k[ok], c[ok]
-            context = k & U64((1 << 56) - 1)
-            uniq, back = np.unique(context, return_inverse=True)
-            table = np.zeros((len(uniq), self.a))
-            np.add.at(table, (back, self.symbol[(k >> U64(56)).astype(np.int64)]), c)
-            up = uniq & U64(((1 << (8 * (d - 1))) - 1) << (8 * (8 - d))) if d > 1 else np.zeros(len(uniq), U64)
-            have = np.array([int(u) in parents for u in up], bool)
-            uniq, table, up = uniq[have], table[have], up[have]
-            base = np.array([parents[int(u)] for u in up]).reshape(len(uniq), self.a)
-            total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-            smooth = (table + kinds * base) / (total + kinds)
-            gain = np.where(table > 0, table * np.log(np.where(table > 0, table / total, 1) / base), 0).sum(axis=1)
-            levels.append((uniq, up, smooth, gain))
-            parents = dict(zip(uniq.tolist(), smooth, strict=True))
-        wanted: set[int] = set()
-        keep = [np.zeros(0, bool)] * len(levels)
-        for d in range(len(levels), 0, -1):
-            uniq, up, _, gain = levels[d - 1]
-            keep[d - 1] = (gain >= least_gain) | np.array([u in wanted for u in uniq.tolist()], bool)
-            wanted = set(up[keep[d - 1]].tolist())
-        states, previous = 1, {0: 0}
-        for d, (uniq, up, smooth, _) in enumerate(levels, 1):
-            own = np.flatnonzero(keep[d - 1])
-            current = {}
-            for i in own.tolist():
-                oldest = int(uniq[i] >> U64(8 * (7 - d))) & 0xFF
-                children.append((previous[int(up[i])], int(self.symbol[oldest]), states))
-                current[int(uniq[i])] = states
-                states += 1
-            probs.append(smooth[own])
-            previous = current
-        self.states = states
-        self.child = np.full((states + 1, self.a), states, np.int32)  # the last row is where a walk ends
-        for parent, symbol, state in children:
-            if symbol < self.a - 1:
-                self.child[parent, symbol] = state
-        self.child = self.child.ravel()
-        self.log = np.log10(np.concatenate(probs)).astype(np.float32).ravel()
-        self.depth = len(levels)
-
-    def symbol_scores(self, stream: _Stream) -> np.ndarray:
-        """log10 probability of each symbol of the texts."""
-        symbols = self.symbol[stream.symbols].astype(np.int32)
-        out = np.empty(len(stream.spots))  # of each symbol
-        for a in range(0, len(stream.spots), 1 << 18):
-            at = stream.spots[a : a + (1 << 18)]
-            state, walk = np.zeros(len(at), np.int32), np.zeros(len(at), np.int32)
-            for k in range(1, self.depth + 1):
-                walk = self.child[walk * self.a + symbols[at - k]]
-                state = np.where(walk < self.states, walk, state)
-            out[a : a + len(at)] = self.log[state * self.a + symbols[at]] + self.within[stream.symbols[at]]
-        return out
+            h, c = received(payload)
+            chunks.append(chunk), words.append(h), counts.append(c.astype(np.int64))
+    found, back = np.unique(np.concatenate(words), return_inverse=True)
+    total = np.bincount(back, weights=np.concatenate(counts), minlength=len(found)).astype(np.int64)
+    totals[2] = (total > 0).sum()
+    every, at = total[back], 0
+    for chunk, h in zip(chunks, words[1:], strict=True):
+        out.append((0, bucket, chunk, pack(narrow(every[at : at + len(h)]))))
+        at += len(h)
+    return _rows([*out, (0, bucket, TOTALS, pack(totals))], ("level", "bucket", "chunk", "payload"))
+
+
+def gains(counts: np.ndarray, code: np.ndarray, context: np.ndarray, total: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Of each context: nats by which it predicts its own next symbols, each left out in turn, better than the shorter
+    context does; ``code`` has the latter's probabilities in eighths of a bit."""
+    c, n, k, p = counts, total[context], kinds[context], np.exp2(code / -8.0)
+    k = k - (c == 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        each = np.where((c > 0) & (n > 1), c * np.log((c - 1 + k * p) / (n - 1 + k) / p), 0.0)
+    return np.bincount(context, weights=each, minlength=len(total))
+
+
+def _level(table: pa.Table, level: int, least_gain: float) -> pa.Table:
+    """Of one bucket's contexts of one length: which are retained, and the answers to the chunks."""
+    bucket, parts = table.column("bucket")[0].as_py(), []
+    for payload in table.column("payload").to_pylist():
+        first, steps, per, symbol, code, count = unpack(payload)
+        context = np.cumsum(np.concatenate([first, steps.astype(U64)]), dtype=U64)
+        parts.append((context, per.astype(np.int64), symbol, code, count.astype(np.int64)))
+    contexts, owner = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    context = np.repeat(owner, np.concatenate([p[1] for p in parts]))
+    symbol, code, count = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
+    order = np.argsort((context.astype(U64) << U64(32)) | symbol, kind="stable")
+    new = np.concatenate([[True], (context[order][1:] != context[order][:-1]) | (symbol[order][1:] != symbol[order][:-1])])
+    pair = np.empty(len(order), np.int64)
+    pair[order] = np.cumsum(new) - 1
+    one = order[new]
+    total = np.bincount(pair, weights=count).astype(np.int64)
+    of = context[one]
+    n = np.bincount(of, weights=total, minlength=len(contexts)).astype(np.int64)
+    kinds = np.bincount(of[total > 0], minlength=len(contexts))
+    kept = (n > 1) & (gains(total, code[one], of, n, kinds) >= least_gain)
+    total = np.where(kept[of], total, np.minimum(total, 2))  # else only whether it occurs twice is asked
+    n = np.where(kept, n, 0)
+    out, a, b = [], 0, 0
+    for chunk, (h, per, *_) in zip(table.column("chunk").to_pylist(), parts, strict=True):
+        own, pairs = owner[a : a + len(h)], pair[b : b + int(per.sum())]
+        out.append((level, bucket, chunk, pack(narrow(n[own]), narrow(kinds[own]), narrow(total[pairs]))))
+        a, b = a + len(h), b + len(pairs)
+    return _rows(out, ("level", "bucket", "chunk", "payload"))
+
+
+class _Walk:
+    """What a chunk knows after some levels: each symbol's probability and longest retained context, and where a
+    longer context may be retained."""
+
+    def __init__(self, s: _Stream, answers: dict[int, list[np.ndarray]], level: int, totals: np.ndarray):
+        tokens, texts, distinct = (int(x) for x in totals)
+        every = tokens + distinct + (texts > 0) + 1
+        words, back = np.unique(s.hashes, return_inverse=True)
+        counts = np.concatenate([a[0].astype(np.int64) for a in answers.get(0, [])]) if len(words) else np.zeros(0, np.int64)
+        self.counts = np.full(len(s.symbols), texts, np.int64)  # of starts and ends
+        self.counts[s.at_word] = counts[back]
+        self.p = (self.counts + 1) / every
+        self.base = np.log10(self.p)
+        self.length = np.zeros(len(s.symbols), np.int64)
+        open_ = np.flatnonzero(s.place >= 1)
+        self.open = open_[self.counts[open_ - 1] >= 2]
+        for d in range(1, level + 1):
+            pairs = _Pairs(s, d, self.open)
+            got = answers.get(d, [])
+            n, kinds, total = (np.concatenate([a[i].astype(np.int64) for a in got]) if got else np.zeros(0, np.int64) for i in range(3))
+            context = pairs.context_of[pairs.back] if len(pairs.at) else pairs.back
+            n, kinds, total = n[context], kinds[context], total[pairs.back]
+            kept = n > 0
+            at = pairs.at[kept]
+            self.p[at] = (total[kept] + kinds[kept] * self.p[at]) / (n[kept] + kinds[kept])
+            self.length[at] = d
+            twice, several = np.zeros(len(s.symbols), bool), np.zeros(len(s.symbols), bool)
+            twice[pairs.at], several[pairs.at] = total >= 2, kinds >= 2
+            longer = np.flatnonzero(s.place > d)
+            self.open = longer[twice[longer - 1] & several[longer]]
+
+
+def _answers(table: pa.Table) -> dict[int, list[np.ndarray]]:
+    """Answers by level, in the order of the buckets, which is that of the hashes."""
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("level", "bucket", "payload")), strict=True), key=lambda r: r[:2])
+    out: dict[int, list[np.ndarray]] = {}
+    for level, _, payload in rows:
+        out.setdefault(level, []).append(unpack(payload))
+    return out
+
+
+def _send(chunks: pa.Table, answers: pa.Table, level: int, totals: np.ndarray, buckets: int, folds: int, fold: int) -> pa.Table:
+    out = []
+    for chunk in Chunk.each(chunks):
+        s = _Stream(chunk, folds, fold)
+        walk = _Walk(s, _answers(answers), level - 1, totals)
+        if len(walk.open):
+            pairs = _Pairs(s, level, walk.open)
+            out += pairs.send(chunk.number, walk.p[walk.open], buckets)
+    return _rows(out, ("bucket", "chunk", "payload"))
 
 
-def text_scores(tree: Tree, stream: _Stream, counts: np.ndarray, totals: np.ndarray, share: float) -> np.ndarray:
-    """log10 probability of each text; counts: how often each of the stream's words was seen in training."""
-    _, tokens, texts, once = (int(x) for x in totals)
-    words = tokens - texts
-    e = min(max(once / words, 1e-6), 0.5) if words else 0.5
-    closing = min(max(texts / words, 1e-6), 0.5) if words else 0.5
-    signs = stream.symbols[stream.spots]
-    ends = np.flatnonzero((signs == SPACE) | (signs == END))
-    running = np.concatenate([[0.0], np.cumsum(tree.symbol_scores(stream))])
-    event = running[ends + 1] - running[np.concatenate([[0], ends[:-1] + 1])]
-    doc = stream.owner[ends]
-    is_word = (stream.first[1:] > stream.first[:-1])[doc]
-    spelt = event.copy()
-    event += np.log10((1 - share) * (1 - e))
-    last = signs[ends] == END
-    odds = np.log10(np.where(last, closing, 1 - closing))[is_word]
-    with np.errstate(divide="ignore"):
-        known = np.log10(counts * (share * (1 - e) / max(words, 1))) + odds
-    event[is_word] = np.where(counts > 0, np.logaddexp(known * np.log(10), event[is_word] * np.log(10)) / np.log(10), np.log10(e) + spelt[is_word])
-    return np.bincount(doc, weights=event, minlength=len(stream.begin))
-
-
-def _score(chunks: pa.Table, answers: pa.Table, tree: Tree, totals: np.ndarray, share: float, buckets: int, folds: int, fold: int, none: int) -> pa.Table:
-    distinct, n, texts, _ = (int(x) for x in totals)
-    distinct += texts > 0  # the end
-    floor = np.log10(n + distinct + 1)
-    end = np.log10(texts + 1) - floor
+def _score(chunks: pa.Table, answers: pa.Table, depth: int, totals: np.ndarray, folds: int, fold: int) -> pa.Table:
     out = []
     for chunk in Chunk.each(chunks):
-        s = _Stream(chunk)
-        words, back = np.unique(s.hashes, return_inverse=True)
-        counts, cuts = np.zeros(len(words), np.int64), by_bucket(words, buckets)
-        for k, payload in zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist(), strict=True):
-            counts[cuts[k] : cuts[k + 1]] = unpack(payload)[0]
-        each = (np.log10(counts + 1) - floor)[back]
-        docs = len(chunk)
-        base = np.bincount(s.doc, weights=each, minlength=docs) + end
-        known = np.bincount(s.doc, weights=counts[back] > 0, minlength=docs).astype(np.int64) + (texts > 0)
+        s, n = _Stream(chunk, folds, fold), len(chunk)
+        walk = _Walk(s, _answers(answers), depth, totals)
+        own = s.place >= 1
+        by_text = lambda x: np.bincount(s.doc[own], weights=x[own], minlength=n)  # noqa: E731,B023
         out.append(
             chunk.with_results(
-                held_out=pa.array(is_held_out(chunk.ids, none, folds, fold)),
-                n_tokens=pa.array(np.diff(s.first).astype(np.int64) + 1),
-                n_known=pa.array(known),
-                train_tokens=pa.array(np.full(docs, n, np.int64)),
-                base_score=pa.array(base),
-                score=pa.array(text_scores(tree, s, counts[back], totals, share)),
-                states=pa.array(np.full(docs, tree.states, np.int64)),
+                held_out=pa.array(s.held_out),
+                n_tokens=pa.array(s.words + 1),
+                n_known=pa.array(by_text(walk.counts > 0).astype(np.int64)),
+                train_tokens=pa.array(np.full(n, totals[0], np.int64)),
+                base_score=pa.array(by_text(walk.base)),
+                score=pa.array(by_text(np.log10(walk.p))),
+                n_in_context=pa.array(by_text(walk.length > 0).astype(np.int64)),
+                mean_context=pa.array(by_text(walk.length) / (s.words + 1)),
             )
         )
     return pa.concat_tables(out)
 
 
-def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = 5, least_share: float = 1e-5, least_gain: float = 10.0, share: float = 0.2, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+RESULTS = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_in_context long, mean_context double"
+
+
+def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = 3, least_gain: float = 2.0, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Learns a probabilistic suffix tree from the rows whose crc32 of the id as text does not leave ``held`` modulo
     ``folds``, and scores every whole text.
 
     Returns a row for each row of ``docs`` with the columns ``carry`` (unset: all but the text), ``held_out``,
     ``n_tokens`` (words and the end), ``n_known`` (of these: seen in training), ``train_tokens``, ``base_score``
-    (add-one unigram log10 score), ``score`` (the tree's log10 probability) and ``states`` (the tree's). A null or
-    empty text is an end alone; a null id is in training; repeated rows count as often as they occur; a column
-    named as a result is is dropped; an empty table gives an empty one; long texts are scored whole.
+    (the root's log10 score), ``score`` (the tree's log10 probability), ``n_in_context`` (tokens that a retained
+    context predicts) and ``mean_context`` (its mean length). ``depth`` is 1 or more, ``least_gain`` 1 or more. A null or
+    empty text is an end alone; a null id is in training; repeated rows count as often as they occur; a column named as
+    a result is is dropped; an empty table gives an empty one; long texts are scored whole.
     """
-    from .common import NO_ID
-
-    if not 2 <= depth <= PAD:
-        raise ValueError(f"depth must be 2 to {PAD}")
-    spark = docs.sparkSession
-    buckets = n_buckets(spark)
-    results = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "states"]
+    if depth < 1 or least_gain < 1:
+        raise ValueError("depth and least_gain must be 1 or more")
+    buckets = n_buckets(docs.sparkSession)
+    results = [f.split(" ")[0] for f in RESULTS.split(", ")]
     carry = carried_columns(docs, text_col, results) if carry is None else carry
-    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
-    least = max(2.0, least_share * size)
     chunks = chunk_table(docs, id_col, text_col, carry)
-    counted = chunks.mapInArrow(lambda b: _count(b, buckets, depth, folds, held, NO_ID), ROW_SCHEMA)
-    summed = materialize(counted.groupBy("bucket").applyInArrow(lambda t: _sum(t, depth, least), ROW_SCHEMA), "summed")
-    totals, levels = np.zeros(4, np.int64), {}
-    for r in summed.filter(F.col("kind").isin(TOTALS, CONTEXTS)).select("chunk", "kind", "payload").toLocalIterator():
-        if r["kind"] == TOTALS:
-            totals += unpack(bytes(r["payload"]))[0]
-        else:
-            k, c = unpack(bytes(r["payload"]))
-            levels.setdefault(r["chunk"], []).append((k, c.astype(np.int64)))
-    entries = {d: _merge([k for k, _ in parts], [c for _, c in parts]) for d, parts in levels.items()}
-    tree = spark.sparkContext.broadcast(Tree(entries, depth, least, least_gain))
-    answers = summed.filter(F.col("kind") == ANSWER)
-    schema = fields_of(docs, carry, "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, states long")
-    return chunks.select(*CHUNK_COLUMNS).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda c, a: _score(c, a, tree.value, totals, share, buckets, folds, held, NO_ID), schema)
+    answers = [materialize(chunks.mapInArrow(lambda b: _words(b, buckets, folds, held), SENT_SCHEMA).groupBy("bucket").applyInArrow(_sum_words, ANSWER_SCHEMA), "words")]
+    totals = np.zeros(3, np.int64)
+    for r in answers[0].filter(F.col("chunk") == TOTALS).select("payload").toLocalIterator():  # one row a bucket
+        totals += unpack(bytes(r["payload"]))[0]
+
+    def known() -> DataFrame:
+        out = answers[0].filter(F.col("chunk") != TOTALS)
+        for more in answers[1:]:
+            out = out.unionByName(more)
+        return out.groupBy("chunk")
+
+    by_chunk = chunks.select(*CHUNK_COLUMNS).groupBy("chunk")
+    def level(d: int) -> DataFrame:
+        pairs = by_chunk.cogroup(known()).applyInArrow(lambda c, a: _send(c, a, d, totals, buckets, folds, held), SENT_SCHEMA)
+        return materialize(pairs.groupBy("bucket").applyInArrow(lambda t: _level(t, d, least_gain), ANSWER_SCHEMA), f"level{d}")
+
+    for d in range(1, depth + 1):
+        answers.append(level(d))
+        release()
+    return by_chunk.cogroup(known()).applyInArrow(lambda c, a: _score(c, a, depth, totals, folds, held), fields_of(docs, carry, RESULTS))
