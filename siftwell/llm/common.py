@@ -204,6 +204,24 @@ def chunk_table(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -
     return materialize(slim.mapInArrow(_chunks, CHUNK_SCHEMA), "chunks")
 
 
+def dealt_chunk_table(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    """A chunk table in buckets of its number, for operators that come back to the chunks again and again: the chunks
+    are dealt once and never shuffled after that. It is an external table in the shared scratch folder, whose name is
+    dropped when the application ends."""
+    spark = docs.sparkSession
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("__text"), *[F.col(f"`{c}`") for c in carry])
+    name, n = f"siftwell_{uuid.uuid4().hex}", n_buckets(spark)
+    chunks = slim.mapInArrow(_chunks, CHUNK_SCHEMA).repartition(n, "chunk")
+    chunks.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, "chunks")).bucketBy(n, "chunk").saveAsTable(name)
+
+    def forget() -> None:
+        with contextlib.suppress(Exception):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    atexit.register(forget)
+    return spark.table(name)
+
+
 def fields_of(docs: DataFrame, carry: list[str], more: str) -> StructType:
     """The schema of the carried columns and an operator's results."""
     return StructType([docs.schema[c] for c in carry] + list(_parse_datatype_string(more)))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_COLUMNS, LOWER, NO_ID, U64, Chunk, by_bucket, carried_columns, chunk_table, doc_of, fields_of, materialize, mix, n_buckets, narrow, pack, received, release, rolling, sent, unpack, word_hashes, word_spans
+from .common import CHUNK_COLUMNS, LOWER, NO_ID, U64, Chunk, by_bucket, carried_columns, dealt_chunk_table, doc_of, fields_of, materialize, mix, n_buckets, narrow, pack, received, release, rolling, sent, unpack, word_hashes, word_spans
 
 START, END = U64(0x5BD1E9955BD1E995), U64(0x2545F4914F6CDD1D)  # in the place of a word's hash
 TOTALS = -1  # the bucket of the training totals
@@ -262,8 +262,10 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = 3,
     buckets = n_buckets(docs.sparkSession)
     results = [f.split(" ")[0] for f in RESULTS.split(", ")]
     carry = carried_columns(docs, text_col, results) if carry is None else carry
-    chunks = chunk_table(docs, id_col, text_col, carry)
+    chunks = dealt_chunk_table(docs, id_col, text_col, carry)
+    release()
     answers = [materialize(chunks.mapInArrow(lambda b: _words(b, buckets, folds, held), SENT_SCHEMA).groupBy("bucket").applyInArrow(_sum_words, ANSWER_SCHEMA), "words")]
+    release()
     totals = np.zeros(3, np.int64)
     for r in answers[0].filter(F.col("chunk") == TOTALS).select("payload").toLocalIterator():  # one row a bucket
         totals += unpack(bytes(r["payload"]))[0]
