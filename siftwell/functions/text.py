@@ -136,7 +136,7 @@ def meta_speech(c: Column) -> Column:
 CODE_WORDS = (
     "async", "await", "def", "class", "import", "from", "return", "if", "else", "elif", "for", "while", "try", "except", "finally", "with", "lambda", "yield", "raise", "assert", "pass", "break", "continue",
     "True", "False", "None", "self", "super", "__init__", "function", "const", "let", "var", "new", "this", "export", "HomeAssistant", "DataUpdateCoordinator", "Entity", "ConfigEntry", "async_setup_entry",
-    "device_info", "state", "attributes", "entity_id",
+    "async_added_to_hass", "hass", "entry", "coordinator", "device_info", "state", "attributes", "entity_id",
 )
 #: Words that do not count as natural language.
 NOT_NATURAL = ("async", "await", "def", "class", "import", "from", "return", "true", "false", "none", "self", "super", "function", "const", "homeassistant", "coordinator", "entity", "hass", "config")
@@ -148,18 +148,18 @@ def _total(parts: Column, pattern: str) -> Column:
     return F.aggregate(parts, F.lit(0), lambda a, p: a + F.regexp_count(p, F.lit(pattern)))
 
 
-def code_tokens(c: Column) -> Column:
+def code_tokens(c: Column, code_words: tuple[str, ...] = CODE_WORDS) -> Column:
     """Tokens in braces and fences, code words anywhere, and signs in what is left without those blocks."""
     blocks, fences = F.regexp_extract_all(c, F.lit(JSON_BLOCK), 0), F.regexp_extract_all(c, F.lit(FENCE), 0)
     bodies = F.transform(fences, lambda f: F.replace(f, F.lit("```"), F.lit("")))
     rest = F.aggregate(F.concat(blocks, fences), c, lambda text, b: F.replace(text, b, F.lit("")))
-    return _total(blocks, r"\w+|[{}\[\]:,]") + _total(bodies, r"\w+|[{}\[\]():;=.,<>]") + F.regexp_count(c, F.lit(r"\b(?:" + "|".join(CODE_WORDS) + r")\b")) + F.regexp_count(rest, F.lit(r"[{}\[\]():;=.,<>!&|+\-*/%]"))
+    return _total(blocks, r"\w+|[{}\[\]:,]") + _total(bodies, r"\w+|[{}\[\]():;=.,<>]") + F.regexp_count(c, F.lit(r"\b(?:" + "|".join(code_words) + r")\b")) + F.regexp_count(rest, F.lit(r"[{}\[\]():;=.,<>!&|+\-*/%]"))
 
 
-def natural_tokens(c: Column) -> Column:
+def natural_tokens(c: Column, not_natural: tuple[str, ...] = NOT_NATURAL) -> Column:
     text = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, JSON_BLOCK, ""), FENCE, ""), "<[^>]+>", "")
     found = F.regexp_extract_all(text, F.lit(r"\b[a-zA-Z]{2,}\b"), 0)
-    return F.size(F.filter(found, lambda w: ~F.lower(w).isin(*NOT_NATURAL)))
+    return F.size(F.filter(found, lambda w: ~F.lower(w).isin(*not_natural)))
 
 
 def logic_density(c: Column, stability: float = 800.0) -> Column:
@@ -225,11 +225,16 @@ def repair_output(c: Column) -> Column:
     return F.when(c.contains("<tool_call>") & ~c.contains("</tool_call>"), F.concat(c, F.lit("</tool_call>"))).otherwise(c)
 
 
+#: The words, with their blanks, by which a text counts as Spanish or English.
+SPANISH = (" el ", " la ", " que ", " y ", " para ", " usar ", " será ", " debe ", "vamos")
+ENGLISH = (" the ", " and ", " to ", " is ", " will ", " this ")
+
+
 def language_hint(c: Column) -> Column:
-    """spanish or english by which stop words are more frequent."""
-    text = F.concat(F.lit(" "), F.lower(c), F.lit(" "))
-    count = lambda ws: sum(((F.char_length(text) - F.char_length(F.replace(text, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2) for w in ws), F.lit(0.0))
-    return F.when(count(("el", "la", "de", "que", "los", "por", "para")) > count(("the", "of", "and", "to", "in", "for", "is")), "spanish").otherwise("english")
+    """Spanish or English by which words occur more often; English where neither does."""
+    text = F.lower(c)
+    count = lambda ws: sum(((F.char_length(text) - F.char_length(F.replace(text, F.lit(w), F.lit("")))) / len(w) for w in ws), F.lit(0.0))
+    return F.when(F.round(count(SPANISH)) > F.round(count(ENGLISH)), "Spanish").otherwise("English")
 
 
 def tool_format(messages: Column) -> Column:

@@ -30,14 +30,29 @@ def composite(dims: dict[str, Column]) -> Column:
     return total
 
 
-def grade(score: Column) -> Column:
-    """A to F and below from a score of 0 to 100."""
-    out = F.lit("F")
-    for limit, name in ((40, "E"), (50, "D"), (60, "C"), (70, "B"), (80, "A"), (90, "A+")):
+#: The scales of the scorecard and of the written report, and the verdicts.
+SCORECARD_GRADES = ((90, "A+"), (80, "A"), (70, "B"), (60, "C"), (50, "D"))
+REPORT_GRADES = ((90, "A"), (80, "B"), (70, "C"), (60, "D"), (50, "E"))
+VERDICTS = ((80, "PASS"), (60, "CONDITIONAL"), (40, "WARN"))
+
+
+def _step(score: Column, steps, lowest: str) -> Column:
+    out = F.lit(lowest)
+    for limit, name in reversed(steps):
         out = F.when(score >= limit, name).otherwise(out)
     return out
 
 
+def grade(score: Column, scale=SCORECARD_GRADES) -> Column:
+    """The grade of a score of 0 to 100."""
+    return _step(score, scale, "F")
+
+
+def verdict(score: Column) -> Column:
+    """Whether what was audited may be merged: PASS, CONDITIONAL, WARN or FAIL."""
+    return _step(score, VERDICTS, "FAIL")
+
+
 def latency_summary(df: DataFrame, by: str, value: str) -> DataFrame:
     """Mean, median, interpolated percentiles and the nearest-rank 95th (the value at place int(0.95 n), from 0)."""
     p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))

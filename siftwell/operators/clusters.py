@@ -39,15 +39,23 @@ def shingle_hashes(text: str, k: int) -> np.ndarray:
 
 def _sign(frames, k: int):
     rng = np.random.Generator(np.random.PCG64(7))
-    mult = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    mult, add = rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
     weight = rng.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    for pdf in frames:
-        sets = [shingle_hashes(t or "", k) for t in pdf["text"]]
-        bands = []
-        for h in sets:
-            sig = np.array([((h * m) >> np.uint64(16)).min() for m in mult], np.uint64).reshape(BANDS, ROWS) if len(h) else np.zeros((0, ROWS), np.uint64)
-            bands.append((sig * weight[: len(sig)]).sum(axis=1, dtype=np.uint64).view(np.int64))
-        yield pd.DataFrame({"id": pdf["id"], "shingles": [h.view(np.int64) for h in sets], "bands": bands})
+    for whole in frames:
+        for at in range(0, len(whole), 256):
+            pdf = whole.iloc[at : at + 256]
+            sets = [shingle_hashes(t or "", k) for t in pdf["text"]]
+            full = np.flatnonzero([len(h) for h in sets])
+            bands = [np.zeros(0, np.int64)] * len(sets)
+            if len(full):
+                flat = np.concatenate([sets[i] for i in full])
+                flat = (flat ^ (flat >> np.uint64(32))).astype(np.uint32)
+                starts = np.cumsum([0] + [len(sets[i]) for i in full[:-1]])
+                sig = np.stack([np.minimum.reduceat((flat ^ a) * m, starts) for m, a in zip(mult, add, strict=True)], axis=1)
+                sig = (sig.astype(np.uint64).reshape(len(full), BANDS, ROWS) * weight).sum(axis=2, dtype=np.uint64).view(np.int64)
+                for i, row in zip(full.tolist(), sig, strict=True):
+                    bands[i] = row
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "shingles": [h.view(np.int64) for h in sets], "bands": bands})
 
 
 def leader_clusters(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85, k: int = T.SHINGLE_K) -> DataFrame:

@@ -17,10 +17,14 @@ def records_from_turns(turns: DataFrame, key: str = "conv_id", turn: str = "turn
 
 
 def keep_first(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """The first row of each key. An aggregation finds the firsts, so a key that many rows share is summed up where
-    the rows are before anything is shuffled; a semi join on the order column fetches the rows."""
-    firsts = df.groupBy(key.alias("__key")).agg(F.min(order).alias(order)).select(order)
-    return df.join(firsts, order, "left_semi")
+    """One row of each key: the first by ``order`` (null first), of rows that tie the first by a digest, of equal rows
+    any. An aggregation finds the firsts, so a key that many rows share is summed up where the rows are before anything
+    is shuffled; a semi join on order and digest fetches the rows, and equal rows meet on the same exchange."""
+    marked = df.withColumn("__digest", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    firsts = marked.groupBy(key.alias("__key")).agg(F.min(F.struct(F.col(order).alias("o"), F.col("__digest").alias("d"))).alias("f"))
+    firsts = firsts.select(F.col("f.o").alias("__o"), F.col("f.d").alias("__d"))
+    kept = marked.join(firsts, F.col(order).eqNullSafe(F.col("__o")) & (F.col("__digest") == F.col("__d")), "left_semi")
+    return kept.dropDuplicates([order, "__digest"]).drop("__digest")
 
 
 def exact_dedup_texts(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
+
 
 def stratified_allocation(df: DataFrame, by: str, size: int) -> DataFrame:
     """How many rows each group gives to a balanced sample: an equal quota, then what is left to the largest groups
@@ -40,34 +41,58 @@ def proportional_cut(df: DataFrame, by: str, order: str, total: int) -> DataFram
     return df.withColumn("__rank", rank).join(quotas, by).filter("__rank <= quota").drop("__rank", "quota")
 
 
-def greedy_budget(df: DataFrame, order: str, tokens: str, budget: int, block: int = 10_000) -> DataFrame:
-    """Takes rows in order while they fit into the budget, passing over those that do not.
-
-    Blocks of consecutive rows are summed up first. A block whose rows all fit is taken whole; one whose smallest row
-    does not fit is passed over; only the others are walked through, each in one task of ``block`` rows. The driver
-    sees a row for each block and the remaining budget.
-    """
-    ids = df.select(order, F.col(tokens).cast("long").alias("__t"))
-    bounds = ids.approxQuantile(order, [i / 1000 for i in range(1, 1000)], 0.001) if ids.count() > block else []
-    cell = F.size(F.filter(F.lit(sorted(set(bounds))), lambda b: F.col(order) > b)) if bounds else F.lit(0)
-    ids = ids.withColumn("__block", cell)
-    blocks = ids.groupBy("__block").agg(F.sum("__t").alias("s"), F.min("__t").alias("m")).orderBy("__block").collect()
-    left, whole, walked = budget, [], []
-    for b in blocks:
-        if b["s"] <= left:
-            whole.append(b["__block"])
-            left -= b["s"]
-        elif b["m"] <= left:
-            rows = ids.filter(F.col("__block") == b["__block"]).orderBy(order).toPandas()
-            for key, t in zip(rows[order], rows["__t"], strict=True):
-                if t <= left:
-                    walked.append(key)
-                    left -= t
-    taken = ids.filter(F.col("__block").isin(whole)).select(order) if whole else ids.filter("false").select(order)
-    if walked:
-        spark = df.sparkSession
-        taken = taken.unionByName(spark.createDataFrame(pd.DataFrame({order: walked}), ids.select(order).schema))
-    return df.join(taken, order, "left_semi")
+def greedy_budget(df: DataFrame, order: str, tokens: str, budget: int) -> DataFrame:
+    """Takes rows in order while they fit into the budget, passing over those that do not; null tokens count as 0 and
+    rows that tie go by a digest, equal ones by their place.
+
+    The rows are sorted once, in ranges. A round adds up the rows not larger than what is left of the budget, range by
+    range and then within the one range where the sum passes it: all before that row are taken, it is passed over, and
+    the next round goes on behind it with less left than its size. So what is left falls from round to round, mostly to
+    a fraction; the driver sees one place and one sum a round, and the result is a filter by these places."""
+    size = F.coalesce(F.col(tokens).cast("long"), F.lit(0))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(F.struct(F.col(order).alias("o"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("d")).alias("at"), size.alias("t"), row.alias("row"))
+    ranges = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    rows = rows.repartitionByRange(ranges, "at").sortWithinPartitions("at").withColumn("range", F.spark_partition_id())
+    rows = materialize(rows.withColumn("no", F.monotonically_increasing_id()), "ranged")
+    left, place, taken = int(budget), -1, F.lit(False)
+    while True:
+        open_ = rows.filter((F.col("no") > place) & (F.col("t") <= left)).select("range", "no", "t")
+        sums = open_.groupBy("range").agg(F.sum("t").alias("s"))
+        upto = sums.withColumn("upto", F.sum("s").over(Window.orderBy("range")))
+        over = upto.filter(F.col("upto") > left).agg(F.min(F.struct("range", F.col("upto") - F.col("s"))).alias("x")).first()["x"]
+        if over is None:
+            return rows.filter(taken | ((F.col("no") > place) & (F.col("t") <= left))).select("row.*")
+        inside = open_.filter(F.col("range") == over[0]).withColumn("upto", F.sum("t").over(Window.orderBy("no")) + F.lit(int(over[1])))
+        row_over = inside.filter(F.col("upto") > left).agg(F.min(F.struct("no", F.col("upto") - F.col("t"))).alias("x")).first()["x"]
+        taken = taken | ((F.col("no") > place) & (F.col("no") < row_over[0]) & (F.col("t") <= left))
+        place, left = row_over[0], left - int(row_over[1])
+
+
+def mix(specialized: DataFrame, anchor: DataFrame, order: str, tokens: str, specialized_pct: float, anchor_pct: float, target_records: int | None = None, seed: int = 42) -> DataFrame:
+    """Specialised and anchor records in a proportion of tokens: anchor records are taken in order while they fit into
+    their share; over ``target_records`` both give their first records in proportion; the rest is in a seeded
+    order. Adds ``is_anchor`` and ``place_key``, the digest by which the mix is ordered."""
+    has = specialized.agg(F.sum(tokens)).first()[0] or 0
+    if has > 0 and specialized_pct > 0:
+        target = int(has * anchor_pct / specialized_pct)
+        if (anchor.agg(F.sum(tokens)).first()[0] or 0) > target:
+            anchor = greedy_budget(anchor, order, tokens, target)
+    n, m = specialized.count(), anchor.count()
+    if target_records is not None and n + m > target_records:
+        first = int(target_records * (n / (n + m)))
+        specialized, anchor = specialized.orderBy(order).limit(first), anchor.orderBy(order).limit(target_records - first)
+    both = specialized.withColumn("is_anchor", F.lit(False)).unionByName(anchor.withColumn("is_anchor", F.lit(True)), allowMissingColumns=True)
+    return both.withColumn("place_key", seeded_order(F.concat(F.col(order).cast("string"), F.col("is_anchor").cast("string")), seed)).orderBy("place_key")
+
+
+def typed_sample(df: DataFrame, by: str, kinds: tuple[str, ...], size: int, key: Column) -> DataFrame:
+    """A like number of rows of each kind by the order of a key, filled up to ``size`` from the rest: a top-k report."""
+    x = df.withColumn("__key", key)
+    first = x.filter(F.col(by).isin(*kinds)).withColumn("__r", F.row_number().over(Window.partitionBy(by).orderBy("__key"))).filter(F.col("__r") <= size // len(kinds)).drop("__r")
+    rest = x.join(first.select("__key"), "__key", "left_anti").orderBy("__key").limit(size)
+    some = first.withColumn("__late", F.lit(False)).unionByName(rest.withColumn("__late", F.lit(True)))
+    return some.orderBy("__late", "__key").limit(size).drop("__late", "__key")
 
 
 def seeded_order(key: Column, seed: int) -> Column:

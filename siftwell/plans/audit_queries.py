@@ -56,7 +56,7 @@ def w10(spark: SparkSession, d: str) -> DataFrame:
 
 @query("w9_greedy_budget", "WITH RECURSIVE o AS (SELECT doc_id, length(text) // 4 AS t, row_number() OVER (ORDER BY doc_id) AS i FROM documents), g(i, spent, took) AS (SELECT 0::BIGINT, 0::BIGINT, false UNION ALL SELECT o.i, CASE WHEN g.spent + o.t <= 100000 THEN g.spent + o.t ELSE g.spent END, g.spent + o.t <= 100000 FROM g JOIN o ON o.i = g.i + 1) SELECT o.doc_id, o.t AS tokens FROM g JOIN o USING (i) WHERE took")
 def w9(spark: SparkSession, d: str) -> DataFrame:
-    return S.greedy_budget(docs(spark, d).select("doc_id", F.expr("length(text) div 4").alias("tokens")), "doc_id", "tokens", 100_000, block=200)
+    return S.greedy_budget(docs(spark, d).select("doc_id", F.expr("length(text) div 4").alias("tokens")), "doc_id", "tokens", 100_000)
 
 
 @query("w11_seeded_order", "SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id || ':42')) AS place FROM documents")
@@ -79,7 +79,6 @@ def t9(spark: SparkSession, d: str) -> DataFrame:
 
 DIMS = "(doc_id % 11) / 10.0::DOUBLE AS d1, (doc_id % 7) / 6.0::DOUBLE AS d2, (doc_id % 5) / 4.0::DOUBLE AS d3, (doc_id % 3) / 2.0::DOUBLE AS d4, (doc_id % 2) / 1.0::DOUBLE AS d5"
 COMPOSITE = "0.30::DOUBLE * d1 + 0.25::DOUBLE * d2 + 0.25::DOUBLE * d3 + 0.12::DOUBLE * d4 + 0.08::DOUBLE * d5"
-GRADES = "CASE WHEN c >= 90 THEN 'A+' WHEN c >= 80 THEN 'A' WHEN c >= 70 THEN 'B' WHEN c >= 60 THEN 'C' WHEN c >= 50 THEN 'D' WHEN c >= 40 THEN 'E' ELSE 'F' END"
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
@@ -99,12 +98,6 @@ def a9(spark: SparkSession, d: str) -> DataFrame:
     return r.withColumn("lang", F.coalesce("lang", F.lit("all")))
 
 
-@query("a10_grades", f"WITH s AS (SELECT {DIMS} FROM documents), t AS (SELECT round(100 * ({COMPOSITE}), 6) AS c FROM s) SELECT {GRADES} AS grade, count(*) AS n FROM t GROUP BY 1")
-def a10(spark: SparkSession, d: str) -> DataFrame:
-    dims = {f"d{i}": (F.col("doc_id") % m) / (m - 1) for i, m in enumerate((11, 7, 5, 3, 2), 1)}
-    return docs(spark, d).select(A.grade(F.round(100 * A.composite(dims), 6)).alias("grade")).groupBy("grade").agg(F.count("*").alias("n"))
-
-
 @query("a8_pattern_penalty", "SELECT doc_id, round(0.3::DOUBLE * (CASE WHEN contains(lower(text), 'the') THEN 0 ELSE 1 END + CASE WHEN contains(lower(text), 'zzz') THEN 0 ELSE 1 END + CASE WHEN contains(lower(text), 'und') THEN 0 ELSE 1 END) / 3, 9) AS penalty FROM documents")
 def penalty(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", F.round(A.pattern_penalty(F.col("text"), F.array(F.lit("The"), F.lit("ZZZ"), F.lit("und"))), 9).alias("penalty"))
@@ -150,38 +143,11 @@ def a5(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).groupBy(b.alias("bucket")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
-@query("a6_health_score", "SELECT source, round(avg(CASE WHEN n_chars > 500 THEN 1.0 ELSE 0.0 END) * 20, 6) AS depth, round(avg(CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END) * 20, 6) AS language, round((avg(CASE WHEN n_chars > 500 THEN 1.0 ELSE 0.0 END) + avg(CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END)) * 20, 6) AS total FROM documents GROUP BY source")
-def a6(spark: SparkSession, d: str) -> DataFrame:
-    pillar = lambda c: F.avg(c.cast("double")) * 20
-    deep, lang = pillar(F.col("n_chars") > 500), pillar(F.col("lang") == "en")
-    return docs(spark, d).groupBy("source").agg(F.round(deep, 6).alias("depth"), F.round(lang, 6).alias("language"), F.round(deep + lang, 6).alias("total"))
-
-
-FLAGS = "[CASE WHEN contains(text, 'Licensed') THEN 'legacy' END, CASE WHEN n_chars < 300 THEN 'blocking' END, CASE WHEN lang <> 'en' THEN 'contradiction' END]"
-
-
-@query("f22_audit_flags", f"SELECT doc_id, array_to_string(list_filter({FLAGS}, lambda x: x IS NOT NULL), ',') AS flags FROM documents")
-def f22(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).select("doc_id", F.array_join(audit_flags(), ",").alias("flags"))
-
-
-def audit_flags():
-    marks = F.array(F.when(F.col("text").contains("Licensed"), "legacy"), F.when(F.col("n_chars") < 300, "blocking"), F.when(F.col("lang") != "en", "contradiction"))
-    return F.array_compact(marks)
-
-
-@query("a7_flag_cube", f"WITH f AS (SELECT unnest(list_filter({FLAGS}, lambda x: x IS NOT NULL)) AS flag, toxic FROM documents JOIN labels USING (doc_id)) SELECT coalesce(flag, 'all') AS flag, coalesce(toxic, -1) AS toxic, count(*) AS n FROM f GROUP BY CUBE (flag, toxic)")
-def a7(spark: SparkSession, d: str) -> DataFrame:
-    x = docs(spark, d).join(table(spark, d, "labels"), "doc_id").select(F.explode(audit_flags()).alias("flag"), "toxic")
-    c = x.cube("flag", "toxic").agg(F.count("*").alias("n"))
-    return c.select(F.coalesce("flag", F.lit("all")).alias("flag"), F.coalesce("toxic", F.lit(-1)).alias("toxic"), "n")
-
-
-BPB = "WITH p AS (SELECT a.doc_id, a.lang, substring(a.text, 1, 200) AS t, CASE a.doc_id % 4 WHEN 0 THEN substring(a.text, 1, 200) WHEN 1 THEN '' ELSE substring(b.text, 1, 200) END AS q FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1), s AS (SELECT *, CASE WHEN t = q THEN 0.0::DOUBLE WHEN q = '' THEN 'inf'::DOUBLE ELSE -log2(greatest(len(list_filter(range(1, least(length(t), length(q)) + 1), lambda i: t[i] = q[i])) / length(t)::DOUBLE, 1e-10::DOUBLE)) * length(t) / strlen(t) END AS bpb FROM p)"
+BPB = "WITH p AS (SELECT a.doc_id, a.lang, a.text AS t, CASE a.doc_id % 4 WHEN 0 THEN a.text WHEN 1 THEN '' ELSE b.text END AS q FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1), s AS (SELECT *, CASE WHEN t = q THEN 0.0::DOUBLE WHEN q = '' THEN 'inf'::DOUBLE ELSE -log2(greatest(len(list_filter(list_zip(string_split(t, ''), string_split(q, '')), lambda x: x[1] = x[2])) / length(t)::DOUBLE, 1e-10::DOUBLE)) * length(t) / strlen(t) END AS bpb FROM p)"
 
 
 def bpb_pairs(spark: SparkSession, d: str) -> DataFrame:
-    x = docs(spark, d).select("doc_id", "lang", F.substring("text", 1, 200).alias("t"))
+    x = docs(spark, d).select("doc_id", "lang", F.col("text").alias("t"))
     y = x.select((F.col("doc_id") - 1).alias("doc_id"), F.col("t").alias("next"))
     q = F.when(F.col("doc_id") % 4 == 0, F.col("t")).when(F.col("doc_id") % 4 == 1, "").otherwise(F.col("next"))
     return x.join(y, "doc_id").select("doc_id", "lang", T.bits_per_byte(q, F.col("t")).alias("bpb"))
@@ -285,14 +251,6 @@ def j13(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("node")).agg(F.count_distinct("l_partkey").alias("neighbours"))
 
 
-@query("g5_signature_scan", "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_number FROM documents), p AS (SELECT * FROM (VALUES ('apache', 'license', 'Apache License'), ('gpl', 'license', 'GNU General Public'), ('email', 'personal', '[a-z0-9.]+@[a-z0-9.]+'), ('number', 'data', '[0-9]{6,}')) v(pattern_name, category, pattern)) SELECT doc_id, line_number, pattern_name, category FROM l JOIN p ON regexp_matches(line, pattern)")
-def g5(spark: SparkSession, d: str) -> DataFrame:
-    rules = (("apache", "license", "Apache License"), ("gpl", "license", "GNU General Public"), ("email", "personal", "[a-z0-9.]+@[a-z0-9.]+"), ("number", "data", "[0-9]{6,}"))
-    lines = docs(spark, d).select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    hits = F.array_compact(F.array(*[F.when(F.col("line").rlike(p), F.struct(F.lit(n).alias("pattern_name"), F.lit(c).alias("category"))) for n, c, p in rules]))
-    return lines.select("doc_id", (F.col("at") + 1).cast("long").alias("line_number"), F.explode(hits).alias("x")).select("doc_id", "line_number", "x.pattern_name", "x.category")
-
-
 @query("w17_line_chunks", "WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), s AS (SELECT doc_id, lines, unnest(range(0, len(lines), 4)) AS s FROM l) SELECT doc_id, s AS first_line, len(lines[s + 1 : s + 5]) AS n_lines, md5(array_to_string(lines[s + 1 : s + 5], chr(10))) AS digest FROM s")
 def w17(spark: SparkSession, d: str) -> DataFrame:
     x = docs(spark, d).select("doc_id", F.split("text", "\n").alias("lines"))
@@ -312,11 +270,6 @@ def t25(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", T.duration(F.col("doc_id") * 37).alias("text"))
 
 
-@query("t11_language_hint", "WITH x AS (SELECT doc_id, ' ' || lower(text) || ' ' AS t FROM documents), c AS (SELECT doc_id, " + " + ".join(f"(length(t) - length(replace(t, ' {w} ', ''))) / {len(w) + 2}.0::DOUBLE" for w in ("el", "la", "de", "que", "los", "por", "para")) + " AS es, " + " + ".join(f"(length(t) - length(replace(t, ' {w} ', ''))) / {len(w) + 2}.0::DOUBLE" for w in ("the", "of", "and", "to", "in", "for", "is")) + " AS en FROM x) SELECT doc_id, CASE WHEN es > en THEN 'spanish' ELSE 'english' END AS hint FROM c")
-def t11(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).select("doc_id", T.language_hint(F.col("text")).alias("hint"))
-
-
 @query("w1_collapse_repeats", "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents), m AS (SELECT *, lower(trim(line)) AS k, CASE WHEN lower(trim(line)) = lag(lower(trim(line))) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS new FROM l), g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM m), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY i) AS r FROM g) SELECT doc_id, md5(string_agg(line, chr(10) ORDER BY i)) AS digest, count(*) AS n_lines FROM r WHERE r <= 2 OR length(k) <= 15 GROUP BY doc_id")
 def w1(spark: SparkSession, d: str) -> DataFrame:
     norm = lambda x: F.lower(F.trim(x))
@@ -331,14 +284,6 @@ def w1(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", kept.alias("k")).select("doc_id", F.md5(F.array_join("k", "\n")).alias("digest"), F.size("k").cast("long").alias("n_lines"))
 
 
-@query("f19_f20_strategy", "SELECT doc_id, n_chars // 4 <= 4000 AND lang <> 'de' AS eligible, CASE WHEN doc_id % 5 = 0 THEN 'error_first' WHEN n_chars > 6000 THEN 'full_backtracking' WHEN coalesce(toxic, 0) = 1 THEN 'trace_reconstruction' ELSE 'none' END AS strategy FROM documents LEFT JOIN labels USING (doc_id)")
-def f19(spark: SparkSession, d: str) -> DataFrame:
-    x = docs(spark, d).join(table(spark, d, "labels"), "doc_id", "left")
-    eligible = (F.expr("n_chars div 4") <= 4000) & (F.col("lang") != "de")
-    strategy = F.when(F.col("doc_id") % 5 == 0, "error_first").when(F.col("n_chars") > 6000, "full_backtracking").when(F.coalesce("toxic", F.lit(0)) == 1, "trace_reconstruction").otherwise("none")
-    return x.select("doc_id", eligible.alias("eligible"), strategy.alias("strategy"))
-
-
 @query("t19_json_flatten", "SELECT event_id, k AS key, json_extract_string(props, k) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)")
 def t19(spark: SparkSession, d: str) -> DataFrame:
     m = F.from_json("props", "map<string,string>")

@@ -68,13 +68,23 @@ def c4(spark: SparkSession, d: str) -> DataFrame:
     return clusters.semantic_dedup(table(spark, d, "documents"), "doc_id", "text")
 
 
-@query("c6_distill", "SELECT doc_id, 1991 AS n, true AS untouched FROM documents")
+C6 = """
+x AS (SELECT doc_id, coalesce(text, '') AS text, doc_id % 5 + 1 AS r, doc_id % 4 + 1 AS m, doc_id % 3 AS c, chr(10) AS n, md5(doc_id::VARCHAR) AS a, md5('c' || doc_id) AS b, md5('x' || doc_id) AS y, md5('y' || doc_id) AS z FROM documents),
+kept AS (SELECT doc_id, text, 'checking ' || a || CASE WHEN r > 1 THEN n || 'checking ' || a ELSE '' END || n || n || array_to_string(list_transform(range(m), lambda i: '- option ' || md5('o' || i)), chr(10))
+  || CASE WHEN c > 0 THEN n || n || '```py' || n || b || n || '```' ELSE '' END || n || n || '1. ' || y || n || n || '2. ' || z AS t FROM x)"""
+
+
+@query("c6_distill", f"WITH {C6.strip()} SELECT doc_id, length(t) AS n, md5(t || '</think>' || text) AS digest FROM kept")
 def c6(spark: SparkSession, d: str) -> DataFrame:
-    """The same paragraph three times, then another: two of the three go."""
-    one, two = "alpha beta gamma " * 60, "delta epsilon zeta " * 51
-    text = F.concat(F.lit(f"<think>{one}\n\n{one}\n\n{one}\n\n{two}</think>"), F.col("text"))
-    x = table(spark, d, "documents").select("doc_id", "text", distill.distill(1000)(text).alias("t"))
-    return x.select("doc_id", (F.instr("t", "</think>") - 8).alias("n"), F.endswith("t", F.col("text")).alias("untouched"))
+    """Runs of a line, list items that recur, copies of a code block and of a numbered cycle, by the id."""
+    i, hashed = F.col("doc_id"), lambda p: F.md5(F.concat(F.lit(p), F.col("doc_id").cast("string")))
+    lines = F.array_join(F.array_repeat(F.concat(F.lit("checking "), hashed("")), (i % 5 + 1).cast("int")), "\n")
+    items = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda k: F.concat(F.lit("- option "), F.md5(F.concat(F.lit("o"), (k % (i % 4 + 1)).cast("string"))))), "\n")
+    block = F.array_repeat(F.concat(F.lit("```py\n"), hashed("c"), F.lit("\n```")), (i % 3).cast("int"))
+    cycle = F.array_repeat(F.concat(F.lit("1. "), hashed("x"), F.lit("\n\n2. "), hashed("y")), (i % 2 + 1).cast("int"))
+    thought = F.array_join(F.concat(F.array(lines, items), block, cycle), "\n\n")
+    x = table(spark, d, "documents").select("doc_id", distill.distill(100)(F.concat(thought, F.lit("</think>"), F.coalesce("text", F.lit("")))).alias("t"))
+    return x.select("doc_id", (F.instr("t", "</think>") - 1).cast("long").alias("n"), F.md5("t").alias("digest"))
 
 
 @query("k10_chat_lines", "SELECT count(*) AS n, count(DISTINCT text) AS texts FROM documents")

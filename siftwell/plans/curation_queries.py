@@ -126,8 +126,9 @@ def battery_counts(spark: SparkSession, d: str) -> DataFrame:
 
 # ----------------------------------------------------------------------------------------------- structure
 
-KW = "|".join(T.CODE_WORDS)
-STOP = ", ".join(f"'{w}'" for w in T.NOT_NATURAL)
+# the SQL has word lists of its own
+KW = "async|await|def|class|import|from|return|if|else|elif|for|while|try|except|finally|with|lambda|yield|raise|assert|pass|break|continue|True|False|None|self|super|__init__|function|const|let|var|new|this|export|HomeAssistant|DataUpdateCoordinator|Entity|ConfigEntry|async_setup_entry|async_added_to_hass|hass|entry|coordinator|device_info|state|attributes|entity_id"
+STOP = "'async', 'await', 'def', 'class', 'import', 'from', 'return', 'true', 'false', 'none', 'self', 'super', 'function', 'const', 'homeassistant', 'coordinator', 'entity', 'hass', 'config'"
 
 
 def ldi_sql(c: str) -> str:
@@ -272,7 +273,7 @@ def a3(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_formats(spark: SparkSession, d: str) -> DataFrame:
-    kind, text = F.col("doc_id") % 5, F.substring("text", 1, 40)
+    kind, text = F.col("doc_id") % 5, F.col("text")
     turn = lambda a, b, x, y: F.struct(F.lit(x).alias(a), y.alias(b))
     return table(spark, d, "documents").select(
         "doc_id",
@@ -285,7 +286,7 @@ def raw_formats(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("n1_n5_normalize", """
-WITH r AS (SELECT doc_id, doc_id % 5 AS k, substring(text, 1, 40) AS t FROM documents)
+WITH r AS (SELECT doc_id, doc_id % 5 AS k, text AS t FROM documents)
 SELECT doc_id, CASE k WHEN 0 THEN 'openai_messages' WHEN 1 THEN 'sharegpt' WHEN 2 THEN 'sharegpt' WHEN 3 THEN 'alpaca' ELSE 'unknown' END AS format,
   CASE k WHEN 0 THEN 'user:' || t WHEN 1 THEN 'user:' || t || '|assistant:' || t || '|critic:' || t WHEN 3 THEN 'user:' || t || CASE WHEN doc_id % 2 = 0 THEN chr(10) || chr(10) || 'in' ELSE '' END || '|assistant:out' END AS turns FROM r""")
 def n1(spark: SparkSession, d: str) -> DataFrame:
@@ -296,15 +297,11 @@ def n1(spark: SparkSession, d: str) -> DataFrame:
     return r.select("doc_id", "format", m.alias("m")).select("doc_id", "format", F.when(c("m").isNotNull(), F.array_join(F.transform("m", lambda x: F.concat(x["role"], F.lit(":"), x["content"])), "|")).alias("turns"))
 
 
-def shingled(c: Column) -> Column:
-    return T.char_shingles(F.substring(c, 1, 300))
-
-
 @query("t1_t3_shingle_jaccard", rf"""
-WITH s AS (SELECT doc_id, replace(regexp_replace(regexp_replace(lower(substring(text, 1, 300)), '^{WS}|{WS}$', '', 'g'), '{WS}', ' ', 'g'), ' ', '_') AS t FROM documents),
-g AS (SELECT doc_id, CASE WHEN t = '' THEN [] WHEN length(t) < 5 THEN [t] ELSE list_distinct(list_transform(range(1, length(t) - 3), lambda i: substring(t, i, 5))) END AS g FROM s)
+WITH s AS (SELECT doc_id, replace(regexp_replace(regexp_replace(lower(text), '^{WS}|{WS}$', '', 'g'), '{WS}', ' ', 'g'), ' ', '_') AS t FROM documents),
+g AS (SELECT doc_id, CASE WHEN t = '' THEN [] WHEN length(t) < 5 THEN [t] ELSE list_distinct(list_transform(range(1, length(t) - 3), lambda i: l[i] || l[i + 1] || l[i + 2] || l[i + 3] || l[i + 4])) END AS g FROM (SELECT *, string_split(t, '') AS l FROM s))
 SELECT a.doc_id, len(a.g) AS n, round(CASE WHEN len(list_distinct(list_concat(a.g, b.g))) = 0 THEN 0.0 ELSE len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g)))::DOUBLE END, 9) AS similarity FROM g a JOIN g b ON b.doc_id = a.doc_id + 1""")
 def t1(spark: SparkSession, d: str) -> DataFrame:
-    g = table(spark, d, "documents").select("doc_id", shingled(F.col("text")).alias("g"))
+    g = table(spark, d, "documents").select("doc_id", T.char_shingles(F.col("text")).alias("g"))
     other = g.select((F.col("doc_id") - 1).alias("doc_id"), F.col("g").alias("h"))
     return g.join(other, "doc_id").select("doc_id", F.size("g").cast("long").alias("n"), F.round(T.jaccard(F.col("g"), F.col("h")), 9).alias("similarity"))

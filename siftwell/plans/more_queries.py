@@ -14,45 +14,6 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents")
 
 
-#: Patterns by kind of file; the first set for programs, the second for templates.
-PATTERNS = (("program", "apache notice", "Apache License"), ("program", "digits", "[0-9]{4,}"), ("template", "question", r"\?"), ("template", "gpl notice", "GNU General"))
-
-
-@query("f16_pattern_detector", "WITH k AS (SELECT doc_id, text, CASE WHEN doc_id % 2 = 0 THEN 'program' ELSE 'template' END AS kind FROM documents) SELECT doc_id, CASE kind WHEN 'program' THEN array_to_string(list_filter([CASE WHEN contains(text, 'Apache License') THEN 'apache notice' END, CASE WHEN regexp_matches(text, '[0-9]{4,}') THEN 'digits' END], lambda x: x IS NOT NULL), ',') ELSE array_to_string(list_filter([CASE WHEN contains(text, '?') THEN 'question' END, CASE WHEN contains(text, 'GNU General') THEN 'gpl notice' END], lambda x: x IS NOT NULL), ',') END AS found FROM k")
-def f16(spark: SparkSession, d: str) -> DataFrame:
-    kind = F.when(F.col("doc_id") % 2 == 0, "program").otherwise("template")
-    hits = F.array_compact(F.array(*[F.when((kind == k) & F.col("text").rlike(p), F.lit(n)) for k, n, p in PATTERNS]))
-    return docs(spark, d).select("doc_id", F.array_join(hits, ",").alias("found"))
-
-
-@query("f24_ignored_reasons", "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'not_list' WHEN 2 THEN 'not_object' WHEN 3 THEN 'non_string_content' ELSE CASE WHEN n_chars > 2000 THEN 'too_long' END END AS reason FROM documents")
-def f24(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("doc_id") % 5
-    body = F.to_json(F.array(F.struct(F.lit("user").alias("role"), F.col("text").alias("content"))))
-    line = F.when(k == 0, '{"a": ').when(k == 1, '{"a": 1}').when(k == 2, '["x"]').when(k == 3, '[{"role": "user", "content": 5}]').otherwise(body)
-    x = docs(spark, d).select("doc_id", F.col("n_chars"), line.alias("line")).withColumn("v", F.expr("try_parse_json(line)"))
-    shape = F.expr("schema_of_variant(v)")
-    reason = (
-        F.when(F.col("v").isNull(), "bad_json")
-        .when(~shape.startswith("ARRAY<"), "not_list")
-        .when(~shape.startswith("ARRAY<OBJECT<"), "not_object")
-        .when(~shape.contains("content: STRING"), "non_string_content")
-        .when(F.char_length(F.expr("try_variant_get(v, '$[0].content', 'string')")) > 2000, "too_long")
-    )
-    return x.select("doc_id", reason.alias("reason"))
-
-
-@query("f26_query_validator", "SELECT doc_id, NOT (contains(lower(text), 'license') OR contains(lower(text), 'idiot')) AS valid FROM documents")
-def f26(spark: SparkSession, d: str) -> DataFrame:
-    terms = F.array(F.lit("license"), F.lit("idiot"))
-    return docs(spark, d).select("doc_id", (~F.exists(terms, lambda t: F.lower("text").contains(t))).alias("valid"))
-
-
-@query("f25_false_negatives", "SELECT doc_id FROM documents WHERE n_chars > 1000 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
-def f25(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).filter("n_chars > 1000").join(table(spark, d, "labels").filter("quality = 1"), "doc_id", "left_anti").select("doc_id")
-
-
 @query("w2_sentence_loops", r"WITH s AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(text, '.'), lambda x: regexp_replace(x, '^[ \t\n\r\x0B\f]+|[ \t\n\r\x0B\f]+$', '', 'g')), lambda x: x <> '')) AS s, unnest(range(len(list_filter(list_transform(string_split(text, '.'), lambda x: regexp_replace(x, '^[ \t\n\r\x0B\f]+|[ \t\n\r\x0B\f]+$', '', 'g')), lambda x: x <> '')))) AS i FROM documents), m AS (SELECT *, CASE WHEN s = lag(s) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS new FROM s), g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM m), r AS (SELECT doc_id, island, count(*) AS run FROM g GROUP BY 1, 2) SELECT doc_id, max(run) AS longest FROM r GROUP BY doc_id")
 def w2(spark: SparkSession, d: str) -> DataFrame:
     parts = F.filter(F.transform(F.split("text", r"\."), T.strip), lambda x: x != "")
@@ -105,12 +66,6 @@ def x17(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).withColumn("k", F.col("doc_id") % n).join(b, "k").filter(F.col("doc_id") < 10 * F.col("n")).select("doc_id", "item_id")
 
 
-@query("w13_typed_sample", "WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS r FROM documents WHERE lang IN ('en', 'fr', 'de')) SELECT doc_id, lang FROM r WHERE r <= 30 // 3")
-def w13(spark: SparkSession, d: str) -> DataFrame:
-    r = docs(spark, d).filter(F.col("lang").isin("en", "fr", "de")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")))
-    return r.filter("r <= 30 div 3").select("doc_id", "lang")
-
-
 @query("w20_random_types", "WITH h AS (SELECT doc_id, ('0x' || md5(doc_id || ':7')[:4])::INT % 100 AS h, doc_id % 9 = 0 AS legacy FROM documents) SELECT doc_id, CASE WHEN legacy THEN CASE WHEN h < 60 THEN 'refactor' ELSE 'explain' END WHEN h < 50 THEN 'write' WHEN h < 80 THEN 'refactor' ELSE 'explain' END AS kind FROM h")
 def w20(spark: SparkSession, d: str) -> DataFrame:
     h = F.conv(F.substring(F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":7"))), 1, 4), 16, 10).cast("int") % 100

@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 
 
+def _remove_at_exit(spark, path: str) -> None:
+    def remove() -> None:
+        with contextlib.suppress(Exception):
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    atexit.register(remove)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes a table under spark.checkpoint.dir, the folder that a cluster shares, and reads it back. Only where it
-    is unset, in local mode, is a temporary folder taken."""
+    is unset, in local mode, is a temporary folder taken. The table is removed when the application ends."""
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -19,5 +30,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         root = "file://" + tempfile.mkdtemp(prefix="siftwell-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/siftwell-{uuid.uuid4().hex}/{name}"
+    _remove_at_exit(spark, path.rpartition("/")[0])
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -54,7 +54,7 @@ def test_greedy_budget_in_blocks(spark):
         if t <= left:
             want.append(i)
             left -= t
-    got = sampling.greedy_budget(spark.createDataFrame(rows, "i long, t long"), "i", "t", 9000, block=50)
+    got = sampling.greedy_budget(spark.createDataFrame(rows, "i long, t long"), "i", "t", 9000)
     assert [r["i"] for r in got.orderBy("i").collect()] == want
 
 
@@ -74,16 +74,16 @@ def test_imports_fall_back_to_patterns():
 
 def test_distillation_leaves_the_tail_alone():
     para = "one two three four five six seven " * 30
-    text = f"<think>{para}\n\n{para}\n\nother words entirely that stay here for good</think><tool_call>x</tool_call>"
+    text = f"{para}\n\n{para}\n\nother words entirely that stay here for good</think><tool_call>x</tool_call>"
     short = distill.distill_text(text, 100)
     assert short.endswith("</think><tool_call>x</tool_call>") and short.count(para.strip()) == 1 and "stay here" in short
     assert distill.distill_text("no tags", 1) == "no tags"
 
 
 def test_last_bullets_and_lines():
-    assert distill.first_bullets("- a b\n- a b\ntext") == "- a b\ntext"
+    assert distill.without_repeated_items("- a b\n- a b\ntext") == "- a b\ntext"
     line = "this line is long enough"
-    assert distill.collapse_lines("\n".join([line] * 5)) == "\n".join([line] * 2)
+    assert distill.without_line_runs("\n".join([line] * 5)) == "\n".join([line] * 2)
 
 
 def test_jsonl_round_trip(spark, tmp_path):
@@ -122,3 +122,31 @@ def test_stream_dedup(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["t"] for r in spark.sql("select t from dedup_out").collect()) == ["a", "b"]
+
+
+def test_first_of_tied_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (1, "b"), (None, "b"), (3, None), (4, None)], "doc_id long, text string")
+    got = sorted((r["doc_id"] or -1, r["text"] or "") for r in curation.exact_dedup_texts(df).collect())
+    assert got == [(-1, "b"), (1, "a"), (3, "")]
+
+
+def test_greedy_budget_of_tied_rows(spark):
+    df = spark.createDataFrame([(1, 5), (1, 5), (2, 5), (3, None)], "i long, t long")
+    got = sampling.greedy_budget(df, "i", "t", 5).collect()
+    assert sorted((r["i"], r["t"] or 0) for r in got) == [(1, 5), (3, 0)]
+    assert sampling.greedy_budget(df, "i", "t", 10).count() == 3 and sampling.greedy_budget(df.limit(0), "i", "t", 10).count() == 0
+
+
+def test_distillation_steps():
+    block = "```python\nprint(total_of_all_rows, 1)\nreturn result\n```"
+    assert distill.without_earlier_code(f"one\n{block}\ntwo\n{block}\nend") == f"one\n\ntwo\n{block}\nend"
+    assert distill.without_earlier_code(f"one\n```\nx\n```\n```\nx\n```") == "one\n```\nx\n```\n```\nx\n```"
+    assert distill.without_repeated_items("- Same, thing\nplain\n- same thing\n2) other\nplain") == "- Same, thing\nplain\n2) other\nplain"
+    cycle = ["1. look at the input and the output", "2. then write the code"]
+    assert distill.without_earlier_cycles(["start", *cycle, *cycle, "1. something quite different, unlike all", "x"]) == ["start", *cycle, *cycle, "1. something quite different, unlike all", "x"]
+    assert distill.without_earlier_cycles(["start", *cycle, *cycle]) == ["start", *cycle]
+    a, b = "The coordinator polls the device every thirty seconds.", "The coordinator polls the device every sixty seconds."
+    assert distill.without_earlier_paragraphs([a, "short", "other words stand here, nothing alike at all", b, "short"]) == ["short", "other words stand here, nothing alike at all", b, "short"]
+    thought = "\n\n".join([a] * 200)
+    assert distill.distill_text(f"{thought}</think>{thought}") == f"{a}</think>{thought}"
+    assert distill.distill_text(f"{a}</think>x") == f"{a}</think>x"

@@ -2,7 +2,7 @@
 
 import pytest
 
-from siftwell.plans import audit_queries, code_queries, curation_queries, more_queries  # noqa: F401
+from siftwell.plans import audit_queries, code_queries, curation_queries, more_queries, rule_queries  # noqa: F401
 from siftwell.plans.registry import ORACLES, QUERIES
 
 from oracle import DATA, expected, found
