@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_COLUMNS, K3, U64, Chunk, carried_columns, chunk_table, doc_of, fields_of, join_hash, materialize, mix, n_buckets, pack, received, sent, unpack
+from .common import CHUNK_COLUMNS, K3, U64, Chunk, carried_columns, chunk_table, doc_of, fields_of, join_hash, materialize, mix, n_buckets, narrow, pack, received, sent, unpack
 
 ANCHOR = 40
 BLOCK = 1 << 19
@@ -126,7 +126,7 @@ def _send(batches, length: int, buckets: int):
             s, count, anchor, whole, ids = s[order], count[order], anchor[order], whole[order], chunk.ids[doc[order]]
             first = np.ones(len(s), bool)
             first[1:] = (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1])
-            found = sent(chunk.number, anchor[first], buckets, whole[first], ids[first], s[first].astype(np.uint32), count[first].astype(np.uint8))
+            found = sent(chunk.number, anchor[first], buckets, whole[first], ids[first], s[first].astype(np.uint32), narrow(count[first]))
             out = [(k, c, ANCHORS, p) for k, c, p in zip(*(found.column(i).to_pylist() for i in range(3)), strict=True)]
             if not first.all():
                 out.append((chunk.number % buckets, chunk.number, GONE, _ranges(s[~first], count[~first])))
@@ -194,7 +194,7 @@ def _show(chunks: pa.Table, asked: pa.Table, length: int) -> pa.Table:
                 size = count + length - 1
                 begins = np.cumsum(size) - size
                 index = np.repeat(s - begins, size) + np.arange(int(size.sum()))
-                out.append((shard, chunk.number, kind, pack(chunk.ids[doc_of(chunk, s)], s.astype(np.uint32), count.astype(np.uint8), chunk.buf[index])))
+                out.append((shard, chunk.number, kind, pack(chunk.ids[doc_of(chunk, s)], s.astype(np.uint32), narrow(count), chunk.buf[index])))
     return _rows(out)
 
 
