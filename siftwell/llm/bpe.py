@@ -193,7 +193,7 @@ class WordBpe:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if self.split_special is None or "<|" not in text:
+        if not any(s in text for s in self.special):
             return b"".join(self._plain(text))
         out: list[bytes] = []
         for part in self.split_special.split(text):
