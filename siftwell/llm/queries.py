@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from . import mixing
+from . import mixing, oracles
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,4 +104,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {"op2_fair_mix": mixing.oracle_sql()}
+ORACLES: dict[str, str] = {"op2_fair_mix": mixing.oracle_sql(), **oracles.ORACLES}
