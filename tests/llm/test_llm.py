@@ -100,6 +100,15 @@ def test_repeated_bytes(docs, texts, shard):
     assert got == want
 
 
+def test_repeats_longer_than_a_byte_can_count(spark):
+    rng = random.Random(21)
+    say = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    shared = say(700)
+    rows = spark.createDataFrame([(1, say(50) + shared), (2, say(90) + shared)], "doc_id long, text string")
+    for length in (100, 300, 400):
+        assert {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeated_bytes(rows, length=length).collect()} == {1: 0, 2: 700}
+
+
 def test_suffix_array_and_common_prefixes():
     rng = random.Random(2)
     text = np.array([rng.choice(b"ab") for _ in range(600)] + [97] * 300, np.uint8)
@@ -279,6 +288,28 @@ def test_near_vectors(spark):
     assert got == {i: (n[i], roots[i], roots[i] == i) for i, _ in rows}
 
 
+def test_near_vectors_in_blocks_and_bands():
+    """Every pair at the threshold is found, once, whatever blocks and bands it meets in."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((60, 48))
+    v = np.concatenate([base + 0.17 * rng.standard_normal((60, 48)) for _ in range(6)])
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    bits, bands, most = 6, 14, embedding_dedup.most_bits(0.95, 5.0)
+    table = __import__("pyarrow").Table.from_batches(list(embedding_dedup._encode([__import__("pyarrow").RecordBatch.from_pydict({"key": np.arange(len(v)), "vector": [x.tobytes() for x in v], "copies": np.ones(len(v), np.int64)})], bits, bands)))
+    pa, rows = __import__("pyarrow"), table.to_pylist()
+    links = np.zeros(len(v))
+    for place in sorted({p for r in rows for p in r["places"]}):
+        own = [r | {"place": place, "sub": r["key"] % 2} for r in rows if place in r["places"]]
+        for i, j in ((0, 0), (0, 1), (1, 1)):
+            some = [r | {"i": i, "j": j} for r in own if r["sub"] in (i, j)]
+            if some:
+                left = set(embedding_dedup._screen(pa.Table.from_pylist(some), bits, most).column("key").to_pylist())
+                for x in embedding_dedup._block(pa.Table.from_pylist([r for r in some if r["key"] in left]), bits, bands, most, 0.95, 5.0).to_pylist() if left else []:
+                    links[x["key"]] += x["links"]
+    want = ((u @ u.T >= 0.95).sum(axis=1) - 1).astype(float)
+    assert want.sum() > 100 and (links <= want).all() and links.sum() >= 0.99 * want.sum()
+
+
 # ----------------------------------------------------------------------------------------- 8: tokens
 
 
