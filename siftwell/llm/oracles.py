@@ -15,8 +15,8 @@ NEAR_DEDUP = f"""
 WITH RECURSIVE w AS (SELECT doc_id AS id, {WORDS.format(t=LOW.format(t="text"))} AS w FROM documents),
 g AS (SELECT id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [w[1]] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM w),
 e AS (SELECT id, unnest(g) AS x FROM g),
-both AS (SELECT p.id AS a, q.id AS b, count(*) AS n FROM e p JOIN e q ON p.x = q.x AND p.id < q.id GROUP BY ALL),
-pair AS (SELECT a, b FROM both JOIN g p ON p.id = a JOIN g q ON q.id = b WHERE 100 * n >= 80 * (len(p.g) + len(q.g) - n)),
+met AS (SELECT p.id AS a, q.id AS b, count(*) AS n FROM e p JOIN e q ON p.x = q.x AND p.id < q.id GROUP BY ALL),
+pair AS (SELECT a, b FROM met JOIN g p ON p.id = a JOIN g q ON q.id = b WHERE 100 * n >= 80 * (len(p.g) + len(q.g) - n)),
 link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair), node AS (SELECT id FROM g),
 {REACH}
 SELECT g.id AS doc_id, len(g.g)::BIGINT AS n_shingles, component_id, g.id = component_id AS kept FROM g JOIN component USING (id)
@@ -41,7 +41,22 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM (SELECT doc_i
 SELECT x.doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM x LEFT JOIN kept USING (doc_id)
 """
 
+#: Bytes as pairs of hexadecimal digits.
+SUFFIXES = """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+w AS (SELECT doc_id, k, md5(substring(hx, 2 * k - 1, 200)) AS m FROM (SELECT doc_id, hx, unnest(range(1, len(hx) // 2 - 98)) AS k FROM h)),
+f AS (SELECT doc_id, k, row_number() OVER (PARTITION BY m ORDER BY doc_id, k) > 1 AS again FROM w),
+r AS (SELECT doc_id, k, CASE WHEN k - lag(k) OVER (PARTITION BY doc_id ORDER BY k) <= 100 THEN 0 ELSE 1 END AS new FROM f WHERE again),
+i AS (SELECT doc_id, min(k) AS a, max(k) + 99 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY k) AS g FROM r) GROUP BY doc_id, g),
+s AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS s, a - 1 AS t FROM i UNION ALL SELECT h.doc_id, coalesce(max(b), 0) + 1, any_value(len(hx) // 2) FROM h LEFT JOIN i USING (doc_id) GROUP BY h.doc_id),
+k AS (SELECT doc_id, string_agg(substring(hx, 2 * s - 1, 2 * (t - s + 1)), '' ORDER BY s) AS kx FROM s JOIN h USING (doc_id) WHERE t >= s GROUP BY doc_id),
+n AS (SELECT doc_id, sum(b - a + 1) AS removed, count(*) AS spans FROM i GROUP BY doc_id)
+SELECT h.doc_id, (len(hx) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kx, ''))) AS kept_sha256
+FROM h LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_suffix_dedup": SUFFIXES,
     "op6_embedding_dedup": EMBEDDINGS,
     "op7_near_dedup": NEAR_DEDUP,
     "op10_substring_dedup": SUBSTRINGS,
