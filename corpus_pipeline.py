@@ -68,7 +68,8 @@ STAGES = [
     ("bpe", tokenize),
 ]
 
-#: SQL can express none of the first three stages; tests compare them with brute force.
+#: SQL cannot express the first stage, a trained classifier, and so none of what follows from it; tests compare every
+#: stage with brute force.
 ORACLE_SQL = None
 
 
