@@ -328,6 +328,42 @@ def test_bpe_matches_the_library():
         assert ours.decode(ids).decode() == theirs.decode(ids.tolist(), skip_special_tokens=False)
 
 
+def test_bpe_query_rows(spark):
+    """Null, empty and long texts, repeated rows, null ids and clashing columns, against the library."""
+    tokenizers = pytest.importorskip("tokenizers")
+    P = pytest.importorskip("public_tokenizers")
+    theirs = tokenizers.Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = [None, "", "  ", "Hello <|endoftext|> World's 42nd", "word " * 200_000, "é漢字 ", "é漢字 "]
+    df = spark.createDataFrame([(None if i == 5 else min(i, 6), t, 1, "x") for i, t in enumerate(texts)], "doc_id long, text string, ids int, keep string")
+    out = bpe.encode_and_decode(df, P.path("word_bpe_49k.json"))
+    assert out.columns == ["doc_id", "keep", "n_tokens", "ids", "decoded"]
+    want = [theirs.encode(t or "", add_special_tokens=False).ids for t in texts]
+    got = sorted((np.frombuffer(bytes(r["ids"]), "<u4").tolist(), r["n_tokens"], r["decoded"]) for r in out.collect())
+    assert got == sorted((x, len(x), theirs.decode(x, skip_special_tokens=False)) for x in want)
+
+
+def test_clashing_columns_and_long_texts(spark):
+    """Columns named as results are, and a text over a chunk's size beside short ones."""
+    rng = random.Random(3)
+    long = " ".join(rng.choice(WORDS) + str(i) for i in range(500_000))
+    assert len(long) > common.CHUNK_BYTES
+    rows = [(1, long, 7, 7.0, 7), (2, "short text", 7, 7.0, 7), (3, long, 7, 7.0, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_bytes int, score double, component_id int")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in suffix_dedup.remove_repeated_bytes(df).collect()}
+    assert got == {1: (len(long), 0), 2: (10, 0), 3: (len(long), len(long))}
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df).collect()} == {1: 1, 2: 2, 3: 1}
+    scores = {r["doc_id"]: r["score"] for r in suffix_tree_lm.score_texts(df).collect()}
+    assert all(s < 0 for s in scores.values())
+    assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeated_passages(df).collect()} == {1: 500_000, 2: 0, 3: 500_000}
+
+
+def test_toxicity_of_an_empty_table(spark):
+    model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), -1.0)
+    none = spark.createDataFrame([], "doc_id long, text string, score int")
+    out = toxicity.score_toxicity(none, model)
+    assert out.columns == ["doc_id", "score", "predicted"] and out.count() == 0
+
+
 # ----------------------------------------------------------------------------------------- 2: the mix
 
 
