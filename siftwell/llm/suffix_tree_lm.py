@@ -65,8 +65,11 @@ class _Pairs:
 
     def __init__(self, s: _Stream, depth: int, at: np.ndarray):
         context, symbol = rolling(s.symbols, depth)[at - depth], (mix(s.symbols[at]) >> U64(32)).astype(np.uint32)
-        order = np.lexsort((symbol, context))
-        context, symbol = context[order], symbol[order]
+        order = np.argsort(context)
+        context = context[order]
+        group = np.cumsum(np.concatenate([[False], context[1:] != context[:-1]])).astype(U64) if len(at) else context
+        order = order[np.argsort((group << U64(32)) | symbol[order])]  # contexts stay where they are
+        symbol = symbol[order]
         new_context = np.concatenate([[True], context[1:] != context[:-1]]) if len(at) else np.zeros(0, bool)
         new = new_context | np.concatenate([[True], symbol[1:] != symbol[:-1]]) if len(at) else new_context
         self.at, self.first = at, order[new]  # places, and one of each pair
@@ -149,7 +152,7 @@ def _level(table: pa.Table, level: int, least_gain: float) -> pa.Table:
     contexts, owner = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     context = np.repeat(owner, np.concatenate([p[1] for p in parts]))
     symbol, code, count = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
-    order = np.argsort((context.astype(U64) << U64(32)) | symbol, kind="stable")
+    order = np.argsort((context.astype(U64) << U64(32)) | symbol)
     new = np.concatenate([[True], (context[order][1:] != context[order][:-1]) | (symbol[order][1:] != symbol[order][:-1])])
     pair = np.empty(len(order), np.int64)
     pair[order] = np.cumsum(new) - 1
