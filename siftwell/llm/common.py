@@ -66,12 +66,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextlib.contextmanager
+def exchanges_dropped(spark: SparkSession):
+    """A table that is written within deletes the files of its exchanges as soon as it is there: nothing else reads
+    them. (Otherwise they stay until the driver's collector finds that nothing refers to them.)"""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared scratch folder and reads it back: this cuts the lineage, and what was written
     outlives any executor."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with exchanges_dropped(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -212,7 +229,8 @@ def dealt_chunk_table(docs: DataFrame, id_col: str, text_col: str, carry: list[s
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("__text"), *[F.col(f"`{c}`") for c in carry])
     name, n = f"siftwell_{uuid.uuid4().hex}", n_buckets(spark)
     chunks = slim.mapInArrow(_chunks, CHUNK_SCHEMA).repartition(n, "chunk")
-    chunks.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, "chunks")).bucketBy(n, "chunk").saveAsTable(name)
+    with exchanges_dropped(spark):
+        chunks.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, "chunks")).bucketBy(n, "chunk").saveAsTable(name)
 
     def forget() -> None:
         with contextlib.suppress(Exception):
