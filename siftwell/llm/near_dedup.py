@@ -19,8 +19,9 @@ class whose posted tokens are the most shared: among edited copies of one text t
 Confirming: each class is first compared on the full sets with the partner with which it collides most, then only pairs
 still in different components. What is open after that are members of one long list in different components. These
 classes are put into blocks, those of a group's largest component apart from its others, so that blocks of one and the
-same component never meet; two blocks of a list are compared as a whole in one task (signatures, then shared
-shingles by a matrix product), which returns a spanning forest of the links. That is the only cost that can grow with
+same component never meet. Two blocks of a list meet by outlines (sizes, components and a byte of each coordinate);
+those that may have a link are compared as a whole in one task (signatures, then shared shingles by a matrix product),
+which returns a spanning forest of the links. That is the only cost that can grow with
 the square of a group: its members that are similar without being linked, times the group, in blocks of bounded size.
 """
 
@@ -153,13 +154,13 @@ def _tally(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "counts": pa.array([pack(narrow(total[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
 
-POST_SCHEMA = "token long, cls long, size long, n long, far long, score long"
+POST_SCHEMA = "token long, cls long, size long, n long, far long, rest long, score long"
 
 
 def _post(packs: pa.Table, answers: pa.Table, prefix: int, buckets: int, short: int) -> pa.Table:
-    """Posted tokens: how many classes have each (``n``), how many long lists the class is posted in (``far``) and how
-    shared its posted tokens are (``score``)."""
-    out = {c: [np.zeros(0, np.int64)] for c in ("token", "cls", "size", "n", "far", "score")}
+    """Posted tokens: how many classes have each (``n``), how many long lists the class is posted in (``far``), in how
+    many of those from this token on, the rarest first (``rest``), and how shared its posted tokens are (``score``)."""
+    out = {c: [np.zeros(0, np.int64)] for c in ("token", "cls", "size", "n", "far", "rest", "score")}
     for _, cls, size, sigs in _packs(packs):
         t = tokens_of(sigs)
         found, back = np.unique(t, return_inverse=True)
@@ -171,9 +172,11 @@ def _post(packs: pa.Table, answers: pa.Table, prefix: int, buckets: int, short:
         t, n = np.take_along_axis(t, order, axis=1), np.take_along_axis(n, order, axis=1)
         shared = n > 1
         shared &= (shared.sum(axis=1) >= LEAST)[:, None]
+        far = shared & (n > short)
         out["token"].append(t[shared].view(np.int64))
         out["n"].append(n[shared])
-        for name, each in (("cls", cls), ("size", size), ("far", (shared & (n > short)).sum(axis=1)), ("score", (n * shared).sum(axis=1))):
+        out["rest"].append(np.cumsum(far[:, ::-1], axis=1)[:, ::-1][shared])
+        for name, each in (("cls", cls), ("size", size), ("far", far.sum(axis=1)), ("score", (n * shared).sum(axis=1))):
             out[name].append(np.broadcast_to(each[:, None], t.shape)[shared])
     return pa.table({k: np.concatenate(v) for k, v in out.items()})
 
@@ -261,7 +264,18 @@ def _bundle(table: pa.Table) -> pa.Table:
     raw = b"".join(texts)
     numbers = pack(*(table.column(c).to_numpy().astype(np.int64) for c in ("cls", "component", "size")), np.array([len(t) for t in texts], np.int64))
     body = pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
-    return pa.table({"block": table.column("block")[:1], "numbers": pa.array([numbers], pa.binary()), "sigs": pa.array([b"".join(table.column("sig").to_pylist())], pa.binary()), "body": pa.array([body], pa.binary())})
+    component, size = (table.column(c).to_numpy().astype(np.int64) for c in ("component", "size"))
+    outline = pack(component, narrow(size), _sig_matrix(table.column("sig")).astype(np.uint8).T.ravel())
+    return pa.table({"block": table.column("block")[:1], "outline": pa.array([outline], pa.binary()), "numbers": pa.array([numbers], pa.binary()), "sigs": pa.array([b"".join(table.column("sig").to_pylist())], pa.binary()), "body": pa.array([body], pa.binary())})
+
+
+class _Outline:
+    """Of a block what tells most pairs apart: components, sizes, and the low byte of each coordinate."""
+
+    def __init__(self, outline: bytes):
+        self.component, size, sig = unpack(outline)
+        self.size = size.astype(np.int64)
+        self.sig = sig.reshape(-1, len(size)).T
 
 
 class _Block:
@@ -291,17 +305,28 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return both
 
 
+def _near(x, y, matches: int, percent: int) -> np.ndarray:
+    """Which classes of two blocks, or of one with itself, are in different components and collide often enough."""
+    out = (x.component[:, None] != y.component[None, :]) & (100 * np.minimum(x.size[:, None], y.size[None, :]) >= percent * np.maximum(x.size[:, None], y.size[None, :]))
+    if x is y:
+        out &= np.triu(np.ones(out.shape, bool), 1)
+    for i in np.flatnonzero(out.any(axis=1)):
+        at = np.flatnonzero(out[i])
+        out[i, at[(y.sig[at] == x.sig[i]).sum(axis=1) < matches]] = False
+    return out
+
+
+def _screen(table: pa.Table, matches: int, percent: int) -> pa.Table:
+    """The pair of blocks, if by their outlines it may have a link. Low bytes agree wherever whole values do."""
+    blocks = [_Outline(o) for o in table.column("outline").to_pylist()]
+    return table.select(["pair"]).slice(0, int(_near(blocks[0], blocks[-1], matches, percent).any()))
+
+
 def _cross(table: pa.Table, words: int, matches: int, percent: int) -> pa.Table:
     """Of two blocks, or of one with itself: a spanning forest of the links between different components."""
     blocks = [_Block(*(table.column(c)[i].as_py() for c in ("numbers", "sigs", "body"))) for i in range(table.num_rows)]
     x, y = blocks[0], blocks[-1]
-    near_ = (x.component[:, None] != y.component[None, :]) & (100 * np.minimum(x.size[:, None], y.size[None, :]) >= percent * np.maximum(x.size[:, None], y.size[None, :]))
-    if x is y:
-        near_ &= np.triu(np.ones(near_.shape, bool), 1)
-    for i in np.flatnonzero(near_.any(axis=1)):
-        at = np.flatnonzero(near_[i])
-        near_[i, at[(y.sig[at] == x.sig[i]).sum(axis=1) < matches]] = False
-    i, j = np.nonzero(near_)
+    i, j = np.nonzero(_near(x, y, matches, percent))
     out = [np.zeros(0, np.int64)] * 2
     if len(i):
         use_x, at_x = np.unique(i, return_inverse=True)
@@ -319,7 +344,8 @@ def _cross(table: pa.Table, words: int, matches: int, percent: int) -> pa.Table:
 
 
 def _crossing(lists: DataFrame, groups: DataFrame, packs: DataFrame, texts: DataFrame, words: int, matches: int, percent: int) -> DataFrame:
-    """Links between members of one long list that are in different components, found block by block."""
+    """Links between members of one long list that are in different components, found block by block. Blocks meet if
+    they have members of one list whose sizes allow the threshold."""
     labelled = lists.join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     labelled = materialize(labelled, "labelled")
     several = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
@@ -335,18 +361,23 @@ def _crossing(lists: DataFrame, groups: DataFrame, packs: DataFrame, texts: Data
     cuts = part.groupBy("part").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("cuts"))
     placed = materialize(salted_join(part, cuts, "part", F.xxhash64("cls")).select("cls", "component", "size", "pure", F.xxhash64("part", F.pmod(F.xxhash64("cls"), F.col("cuts"))).alias("block")), "placed")
 
-    met = entries.select("token", "cls").join(placed.select("cls", "block", "pure"), "cls").groupBy("token", "block").agg(F.first("pure").alias("pure"))
-    met = met.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("block", "pure"))).alias("m")).select("m").distinct()
+    met = entries.select("token", "cls").join(placed.select("cls", "block", "pure", "size"), "cls")
+    met = met.groupBy("token", "block").agg(F.first("pure").alias("pure"), F.min("size").alias("low"), F.max("size").alias("high"))
+    met = met.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("block", "pure", "low", "high"))).alias("m")).select("m").distinct()
     each = met.select("m", F.posexplode("m").alias("at", "x")).select("x", F.explode(F.slice("m", F.col("at") + 1, F.size("m"))).alias("y"))
     open_ = (F.col("x.block") == F.col("y.block")) & F.col("x.pure").isNull() | (F.col("x.block") != F.col("y.block")) & ~F.coalesce(F.col("x.pure") == F.col("y.pure"), F.lit(False))
-    meet = materialize(each.filter(open_).select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct(), "meet")
+    alike = (100 * F.col("x.high") >= percent * F.col("y.low")) & (100 * F.col("y.high") >= percent * F.col("x.low"))
+    meet = materialize(each.filter(open_ & alike).select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct(), "meet")
 
     sigs = packs.mapInArrow(_unpack_sigs, "cls long, sig binary")
     members = placed.join(texts, "cls").join(sigs, "cls")
-    bundles = materialize(members.groupBy("block").applyInArrow(_bundle, "block long, numbers binary, sigs binary, body binary"), "bundles")
+    bundles = materialize(members.groupBy("block").applyInArrow(_bundle, "block long, outline binary, numbers binary, sigs binary, body binary"), "bundles")
     sides = meet.select(F.xxhash64("x", "y").alias("pair"), F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
-    links = materialize(sides.join(bundles, "block").groupBy("pair").applyInArrow(lambda t: _cross(t, words, matches, percent), "a long, b long"), "links")
-    release(entries, led, placed, meet, bundles)
+    outlines = sides.join(bundles.select("block", "outline"), "block").groupBy("pair")
+    close = materialize(outlines.applyInArrow(lambda t: _screen(t, matches, percent), "pair long"), "close")
+    whole = sides.join(close, "pair", "left_semi").join(bundles.drop("outline"), "block").groupBy("pair")
+    links = materialize(whole.applyInArrow(lambda t: _cross(t, words, matches, percent), "a long, b long"), "links")
+    release(entries, led, placed, meet, bundles, close)
     return links
 
 
@@ -386,7 +417,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     merged = merged.groupBy("a", "b").agg(F.sum("collisions").alias("collisions"), F.max("far").alias("far")).filter(F.col("collisions") + F.col("far") >= LEAST)
     long = posted.filter(F.col("n") > short)
     heads = long.groupBy("token").agg(F.max_by("cls", F.struct("score", "cls")).alias("head"))
-    lists = materialize(salted_join(long, heads, "token", F.xxhash64("cls")).select("token", "cls", "size", "n", "head"), "lists")
+    lists = materialize(salted_join(long, heads, "token", F.xxhash64("cls")).select("token", "cls", "size", "n", "rest", "head"), "lists")
     stars = lists.filter("cls <> head").select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b"))
     candidates = materialize(merged.select("a", "b").unionByName(stars).distinct(), "candidates")
     sigs = packs.mapInArrow(_unpack_sigs, "cls long, sig binary")
@@ -395,8 +426,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     likely = materialize(looked.select("a", "b", "sig_a", "sig_b").mapInArrow(lambda b: _look_up(b, matches), "a long, b long, collisions long"), "likely")
     release(candidates)
 
+    # pairs that no short list has brought share LEAST long ones, the rarest of them before the last LEAST - 1 of both
+    far = lists.filter(F.col("rest") >= LEAST)
     # one row a class: its set's size, and the place of one text that has it
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(lists.select("cls")).distinct()
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(far.select("cls")).distinct()
     places = full.groupBy("cls").agg(F.min("__place").alias("place"), F.min("n_shingles").alias("size")).join(wanted, "cls", "left_semi")
     places = materialize(places.select("cls", "size", "place.key", "place.digest"), "places")
     # one plan at every size: the texts are dealt by their keys, however few are wanted
@@ -418,8 +451,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
         if not more.isEmpty():
             links = links.unionByName(more)
             groups = connected_components(links, "a", "b")
-    if not lists.isEmpty():
-        crossing = _crossing(lists, groups, packs, texts, words, matches, percent)
+    if not far.isEmpty():
+        crossing = _crossing(far, groups, packs, texts, words, matches, percent)
         if not crossing.isEmpty():
             groups = connected_components(links.unionByName(crossing), "a", "b")
 

@@ -272,6 +272,38 @@ def test_near_duplicates_of_long_lists(spark, docs, texts, size):
     assert got == {i: (len(sets[i]), roots[i], roots[i] == i) for i in more}
 
 
+def test_near_duplicates_ship_few_blocks_whole(spark, monkeypatch):
+    """Families that have half of their text in common: their blocks meet in long lists, but few go out with texts."""
+    rng = random.Random(5)
+    common, rows = [rng.choice(WORDS) + str(k) for k in range(30)], {}
+    for family in range(12):
+        base = common + [f"{rng.choice(WORDS)}{family}x{k}" for k in range(30)]
+        for i in range(30):
+            w = list(base)
+            for _ in range(rng.randint(1, 9)):
+                w[rng.randrange(60)] = f"{rng.choice(WORDS)}y{i}"
+            rows[family * 100 + i] = " ".join(w)
+    written, real = {}, near_dedup.materialize
+    monkeypatch.setattr(near_dedup, "materialize", lambda df, name: written.setdefault(name, []).append(out := real(df, name)) or out)
+    monkeypatch.setattr(near_dedup, "release", lambda *tables: None)
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(df, words=2, short=8).collect()}
+    _, roots = near(rows, 2)
+    assert got == {i: (roots[i], roots[i] == i) for i in rows}
+    assert written["meet"][0].count() > 100 and written["close"][0].count() < written["meet"][0].count() / 2
+
+
+def test_outlines_never_lose_a_pair():
+    rng = np.random.default_rng(3)
+    sigs = rng.integers(0, 1 << 32, (40, 64), dtype=np.uint32)
+    sigs[20:] = np.where(rng.random((20, 64)) < 0.6, sigs[:20], sigs[20:])
+    block = lambda own, sig: type("Block", (), {"component": np.arange(len(own)) + own[0], "size": np.array(own) * 0 + 50, "sig": sig})
+    x, y = block(range(20), sigs[:20]), block(range(20, 40), sigs[20:])
+    x8, y8 = block(range(20), sigs[:20].astype(np.uint8)), block(range(20, 40), sigs[20:].astype(np.uint8))
+    whole, brief = near_dedup._near(x, y, 38, 80), near_dedup._near(x8, y8, 38, 80)
+    assert 3 < whole.sum() < 20 and not (whole & ~brief).any() and brief.sum() < 25
+
+
 # ----------------------------------------------------------------------------------------- 6: vectors
 
 
