@@ -17,10 +17,10 @@ def last_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(row, F.col(order)).alias("__r")).select("__r.*")
 
 
-def pattern_penalty(code: Column, patterns: Column, most: float = 0.3) -> Column:
-    """``most`` times the share of target patterns that the code lacks; none without code."""
+def pattern_penalty(code: Column, patterns: Column, most: float = 0.3, without_code: float = 0.0) -> Column:
+    """``most`` times the share of target patterns that the code lacks; ``without_code`` where there is none."""
     missing = F.size(F.filter(patterns, lambda p: ~F.lower(code).contains(F.lower(p))))
-    return F.when((code == "") | (F.size(patterns) == 0), F.lit(0.0)).otherwise(F.lit(most) * missing / F.size(patterns))
+    return F.when(F.size(patterns) == 0, F.lit(0.0)).when(F.coalesce(code, F.lit("")) == "", F.lit(without_code)).otherwise(F.lit(most) * missing / F.size(patterns))
 
 
 def composite(dims: dict[str, Column]) -> Column:
