@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
+
 #: The weights of the five dimensions.
 WEIGHTS = {"d1": 0.30, "d2": 0.25, "d3": 0.25, "d4": 0.12, "d5": 0.08}
 #: The parameter grid.
@@ -89,9 +91,20 @@ def noxious_values(stats: DataFrame, least: int = 5, gap: float = 0.15, small_ga
 
 
 def weighted_best(results: DataFrame, param: str, score: str, share: float = 0.25) -> DataFrame:
-    """Score-weighted mean of a parameter over the best share of the results."""
-    ranked = results.withColumn("__p", F.percent_rank().over(Window.orderBy(F.desc(score))))
-    return ranked.filter(F.col("__p") <= share).agg((F.sum(F.col(param) * F.col(score)) / F.sum(score)).alias("centre"))
+    """Score-weighted mean of a parameter over the best share of the results, by their percent rank.
+
+    Equal scores go as one; these are sorted in ranges, of which each is ranked by itself after the counts of those
+    before it, so no task holds more than its range."""
+    value = F.col(score)
+    each = results.groupBy(value.alias("score")).agg(F.count("*").alias("n"), F.sum(F.col(param) * value).alias("weighted"), F.sum(value).alias("total"))
+    ranges = max(1, int(results.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    each = materialize(each.repartitionByRange(ranges, F.desc("score")).withColumn("range", F.spark_partition_id()), "ranged")
+    every, ranged = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = each.groupBy("range").agg(F.sum("n").alias("rows"))
+    sums = sums.select("range", F.coalesce(F.sum("rows").over(every), F.lit(0)).alias("earlier"), F.sum("rows").over(Window.partitionBy()).alias("all"))
+    better = F.col("earlier") + F.coalesce(F.sum("n").over(ranged), F.lit(0))
+    ranked = each.join(F.broadcast(sums), "range").withColumn("__p", F.when(F.col("all") > 1, better / F.greatest(F.col("all") - 1, F.lit(1))).otherwise(F.lit(0.0)))
+    return ranked.filter(F.col("__p") <= share).agg((F.sum("weighted") / F.sum("total")).alias("centre"))
 
 
 def degrees(edges: DataFrame, a: str, b: str) -> DataFrame:
