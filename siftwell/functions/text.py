@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"[ \t\n\r\x0B\f]+"
@@ -81,6 +82,57 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
+def shingle_text(c: Column) -> Column:
+    """The text whose shingles ``char_shingles`` takes."""
+    return F.replace(collapse_space(F.lower(c)), F.lit(" "), F.lit("_"))
+
+
+def _shingle_keys(points: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """A sorted distinct integer for each k-character shingle of some texts, the same for the same shingle."""
+    flat, width = np.concatenate(points).astype(np.int64), 63 // k
+    if len(flat) and flat.max() >> width:
+        flat = np.unique(flat, return_inverse=True)[1]
+    if len(flat) and int(flat.max()) >> width:  # so many characters that ranks of shorter shingles stand for them
+        key, most = flat, int(flat.max()) + 1
+        for i in range(1, k):
+            key = np.unique(key[: len(key) - 1] * most + flat[i:], return_inverse=True)[1]
+    else:
+        key = np.zeros(max(0, len(flat) - k + 1), np.int64)
+        for i in range(k):
+            key = (key << width) | flat[i : i + len(key)]
+    ends = np.cumsum([len(p) for p in points])
+    found = [np.sort(key[end - len(p) : max(end - k + 1, end - len(p))]) for p, end in zip(points, ends, strict=True)]
+    return [x[np.append(True, x[1:] != x[:-1])] if len(x) else x for x in found]
+
+
+def jaccard_of_texts(df: DataFrame, id_col: str, a: str, b: str, k: int = SHINGLE_K) -> DataFrame:
+    """The id, the number of shingles of the first text, and the similarity of the shingles of both; a null text
+    has none, and where it is the first, no number, and no similarity with a text that has some."""
+
+    points = lambda t: np.frombuffer(t.encode("utf-32-le"), "<u4")
+
+    def size(x: str | None) -> int | None:
+        return x if x is None else min(len(x), 1) if len(x) < k else len(_shingle_keys([points(x)], k)[0])
+
+    def both_of(x: str | None, y: str | None) -> tuple[int | None, float | None]:
+        if x is None or y is None:
+            return size(x), None if x is None and y else 0.0
+        if min(len(x), len(y)) < k:  # a short text is one shingle, and none of a longer text's
+            return size(x), float(x == y != "")
+        g, h = _shingle_keys([points(x), points(y)], k)
+        merged = np.sort(np.concatenate([g, h]))
+        both = int((merged[1:] == merged[:-1]).sum())
+        return len(g), both / (len(g) + len(h) - both)
+
+    def compare(frames):
+        for pdf in frames:
+            n, similarity = zip(*map(both_of, pdf["a"], pdf["b"]), strict=True) if len(pdf) else ((), ())
+            yield pd.DataFrame({"id": pdf["id"], "n": pd.array(n, "Int64"), "similarity": pd.array(similarity, "Float64")})
+
+    rows = df.select(F.col(id_col).alias("id"), shingle_text(F.col(a)).alias("a"), shingle_text(F.col(b)).alias("b"))
+    return rows.mapInPandas(compare, "id long, n long, similarity double").withColumnRenamed("id", id_col)
+
+
 def quality_score(c: Column) -> Column:
     """0 to 1 from the variety of a text's words; repeated sentences and ellipses lower it."""
     tokens = F.regexp_extract_all(F.lower(c), F.lit("[a-z]{2,}"), 0)

@@ -302,6 +302,6 @@ WITH s AS (SELECT doc_id, replace(regexp_replace(regexp_replace(lower(text), '^{
 g AS (SELECT doc_id, CASE WHEN t = '' THEN [] WHEN length(t) < 5 THEN [t] ELSE list_distinct(list_transform(range(1, length(t) - 3), lambda i: l[i] || l[i + 1] || l[i + 2] || l[i + 3] || l[i + 4])) END AS g FROM (SELECT *, string_split(t, '') AS l FROM s))
 SELECT a.doc_id, len(a.g) AS n, round(CASE WHEN len(list_distinct(list_concat(a.g, b.g))) = 0 THEN 0.0 ELSE len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g)))::DOUBLE END, 9) AS similarity FROM g a JOIN g b ON b.doc_id = a.doc_id + 1""")
 def t1(spark: SparkSession, d: str) -> DataFrame:
-    g = table(spark, d, "documents").select("doc_id", T.char_shingles(F.col("text")).alias("g"))
-    other = g.select((F.col("doc_id") - 1).alias("doc_id"), F.col("g").alias("h"))
-    return g.join(other, "doc_id").select("doc_id", F.size("g").cast("long").alias("n"), F.round(T.jaccard(F.col("g"), F.col("h")), 9).alias("similarity"))
+    one = table(spark, d, "documents").select("doc_id", "text")
+    other = one.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("other"))
+    return T.jaccard_of_texts(one.join(other, "doc_id"), "doc_id", "text", "other").withColumn("similarity", F.round("similarity", 9))
