@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -196,16 +198,29 @@ JSON_BLOCK = r"\{[^}]*\}"
 FENCE = r"(?s)```.*?```"
 
 
+def _any_of(words: tuple[str, ...]) -> str:
+    """A pattern of any of the words that branches by letter, so a place is tried against few of them."""
+    ends, first = "" in words, sorted({w[0] for w in words if w})
+    rest = "|".join(re.escape(x) + _any_of(tuple(w[1:] for w in words if w.startswith(x))) for x in first)
+    return f"(?:{rest}){'?' * ends}" if first else ""
+
+
 def _total(parts: Column, pattern: str) -> Column:
     return F.aggregate(parts, F.lit(0), lambda a, p: a + F.regexp_count(p, F.lit(pattern)))
 
 
 def code_tokens(c: Column, code_words: tuple[str, ...] = CODE_WORDS) -> Column:
     """Tokens in braces and fences, code words anywhere, and signs in what is left without those blocks."""
-    blocks, fences = F.regexp_extract_all(c, F.lit(JSON_BLOCK), 0), F.regexp_extract_all(c, F.lit(FENCE), 0)
-    bodies = F.transform(fences, lambda f: F.replace(f, F.lit("```"), F.lit("")))
-    rest = F.aggregate(F.concat(blocks, fences), c, lambda text, b: F.replace(text, b, F.lit("")))
-    return _total(blocks, r"\w+|[{}\[\]:,]") + _total(bodies, r"\w+|[{}\[\]():;=.,<>]") + F.regexp_count(c, F.lit(r"\b(?:" + "|".join(code_words) + r")\b")) + F.regexp_count(rest, F.lit(r"[{}\[\]():;=.,<>!&|+\-*/%]"))
+    words = rf"\b{_any_of(code_words)}\b"
+
+    def count(x: Column) -> Column:
+        text, blocks, fences = x["text"], x["blocks"], x["fences"]
+        bodies = F.transform(fences, lambda f: F.replace(f, F.lit("```"), F.lit("")))
+        rest = F.aggregate(F.concat(blocks, fences), text, lambda left, b: F.replace(left, b, F.lit("")))
+        return _total(blocks, r"\w+|[{}\[\]:,]") + _total(bodies, r"\w+|[{}\[\]():;=.,<>]") + F.regexp_count(text, F.lit(words)) + F.regexp_count(rest, F.lit(r"[{}\[\]():;=.,<>!&|+\-*/%]"))
+
+    parts = lambda t: F.struct(t.alias("text"), F.regexp_extract_all(t, F.lit(JSON_BLOCK), 0).alias("blocks"), F.regexp_extract_all(t, F.lit(FENCE), 0).alias("fences"))
+    return let(c, lambda t: let(parts(t), count))
 
 
 def natural_tokens(c: Column, not_natural: tuple[str, ...] = NOT_NATURAL) -> Column:
@@ -216,8 +231,12 @@ def natural_tokens(c: Column, not_natural: tuple[str, ...] = NOT_NATURAL) -> Col
 
 def logic_density(c: Column, stability: float = 800.0) -> Column:
     """Share of code tokens, damped in short texts."""
-    code, natural = code_tokens(c), natural_tokens(c)
-    return F.when(code == 0, F.lit(0.0)).otherwise(code / F.greatest(F.lit(1.0), (natural + code).cast("double")) * (code / (code + F.lit(stability))))
+
+    def share(x: Column) -> Column:
+        code, natural = x["code"], x["natural"]
+        return F.when(code == 0, F.lit(0.0)).otherwise(code / F.greatest(F.lit(1.0), (natural + code).cast("double")) * (code / (code + F.lit(stability))))
+
+    return let(c, lambda t: let(F.struct(code_tokens(t).alias("code"), natural_tokens(t).alias("natural")), share))
 
 
 def density_check(code: Column, reasoning: Column, kind: Column) -> Column:
